@@ -18,6 +18,8 @@ class PipelineConfig:
     machine_uploads_base: str
     metadata_base: str
     tables_base: str | None = None  # folder of the stored tables; None = the warehouse
+    cluster_bronze: bool = False
+    max_files_per_trigger: int | None = None  # size of a micro-batch; None = the whole backlog
 
     @classmethod
     def from_conf(cls, spark: SparkSession) -> PipelineConfig:

@@ -178,7 +178,9 @@ def fact_sensor_agg(spark, sf_dir):
 def materialize_gold(spark, sf_dir):
     cfg = _config(spark)
     cfg.create_schemas(spark)
-    daily = materialize(_daily(spark, sf_dir), f"{cfg.gold_schema}.dim_machine_daily", ["machine_id", "machine_date"])
+    history = _stored_history(spark, sf_dir)
+    days = gold.dim_machine_daily(history, DAILY_AS_OF, clustered=True)
+    daily = materialize(days, f"{cfg.gold_schema}.dim_machine_daily")
     agg = gold.fact_sensor_agg(_facts(spark, sf_dir), daily)
     return materialize(agg, f"{cfg.gold_schema}.fact_sensor_agg", ["machine_date", "machine_id"])
 
