@@ -18,7 +18,8 @@ class PipelineConfig:
     machine_uploads_base: str
     metadata_base: str
     tables_base: str | None = None  # folder of the stored tables; None = the warehouse
-    cluster_bronze: bool = False
+    cluster_bronze: bool = False  # also cluster bronze by machine; see `load_bronze` for the price
+    cluster_silver: bool = True
     max_files_per_trigger: int | None = None  # size of a micro-batch; None = the whole backlog
 
     @classmethod

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumns(
-        {"k": F.regexp_extract("props", "([0-9]+)", 1).cast("int"), "timestamp": F.col("ts").cast("timestamp")}
+    # The one-element explode computes k once per row: a plain column would be copied into
+    # every rule that is pushed down to the scan, and the pattern matched again in each.
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "*", F.explode(F.array(k)).alias("k"), F.col("ts").cast("timestamp").alias("timestamp")
     )
 
 
