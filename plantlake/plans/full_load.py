@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.config import MACHINE_METADATA, SENSOR_DATA, IngestSpec, PipelineConfig
 from plantlake.functions.columns import drop_technical_columns
-from plantlake.operators.layout import materialize, spread_by_range, with_comments
+from plantlake.operators.layout import describe_table, materialize, spread_by_range, with_comments
 from plantlake.plans import alerts, gold, silver
 from plantlake.sources.landing import ingest_json
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
@@ -83,17 +83,17 @@ def load_dim_machine_h(spark: SparkSession, cfg: PipelineConfig, buckets: int =
     changes = silver.machine_changes(bronze)
     target = history_target(cfg, buckets)
     stream_history(changes, target, cfg.checkpoint("silver_dim_machine_h"))
-    history = target.read(spark, changes.schema)
-    history.createOrReplaceTempView(f"{cfg.silver_schema}_dim_machine_h")
+    name = f"{cfg.silver_schema}.dim_machine_h"
+    history = target.publish(spark, name, changes.schema)
+    describe_table(spark, name, "Machine versions with validity", {"quality": "silver"})
     return history
 
 
-def build_gold(
-    spark: SparkSession, cfg: PipelineConfig, history: DataFrame, as_of: gold.Day = None
-) -> dict[str, DataFrame]:
+def build_gold(spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None) -> dict[str, DataFrame]:
     """Refresh the gold tables and views from silver; name -> DataFrame."""
     g = cfg.gold_schema
     facts = spark.read.table(f"{cfg.silver_schema}.fact_sensor")
+    history = spark.read.table(f"{cfg.silver_schema}.dim_machine_h").drop("bucket")
     tables = {"dim_machine_h": with_comments(gold.dim_machine_h(history), COMMENTS)}
     tables["dim_machine_a"] = materialize(
         with_comments(gold.dim_machine_a(history), COMMENTS),
@@ -136,6 +136,6 @@ def run_full_load(
     load_bronze(spark, cfg, MACHINE_METADATA, archive)
     load_bronze(spark, cfg, SENSOR_DATA, archive)
     counts = observed_counts(load_fact_sensor(spark, cfg), "dq")
-    history = load_dim_machine_h(spark, cfg, buckets)
-    tables = build_gold(spark, cfg, history, as_of)
+    load_dim_machine_h(spark, cfg, buckets)
+    tables = build_gold(spark, cfg, as_of)
     return LoadResult(tables, alerts.alert_anomaly_rate(tables["fact_sensor_agg"], as_of), counts)

@@ -9,6 +9,7 @@ and running a batch twice changes nothing. One query may write to a target at a
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -49,7 +50,8 @@ class HistoryTarget:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return 0, {}
-        version = heads.agg(F.max("version")).first()[0] or 0
+        # The file list already names the versions; no job is needed to find the last one.
+        version = max((int(re.search(r"/version=(\d+)/", f)[1]) for f in heads.inputFiles()), default=0)
         return version, {r.bucket: r.run for r in heads.filter(F.col("version") == version).collect()}
 
     def _read(self, spark: SparkSession, changes: T.StructType, runs: dict[int, str]) -> DataFrame:
@@ -63,6 +65,28 @@ class HistoryTarget:
         """The published history; ``changes`` is the schema of the change feed."""
         return self._read(spark, changes, self.head(spark)[1])
 
+    def publish(self, spark: SparkSession, name: str, changes: T.StructType) -> DataFrame:
+        """Make table ``name`` show the published history, and return a read of it.
+
+        The table is external and partitioned by bucket; each partition points at the run
+        that wrote it last. No data moves.
+        """
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._schema(changes))
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, bucket int) USING parquet"
+            f" PARTITIONED BY (bucket) LOCATION '{self.root}/data'"
+        )
+        known = {int(r[0].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        where = {b: f"LOCATION '{self.root}/data/run={run}/bucket={b}'" for b, run in self.head(spark)[1].items()}
+        added = " ".join(f"PARTITION (bucket={b}) {place}" for b, place in where.items() if b not in known)
+        if added:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+        for b in known:
+            spark.sql(f"ALTER TABLE {name} PARTITION (bucket={b}) SET {where[b]}")
+        # Sizes only, from the file listing: joins then know how small or large the history is.
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+        return spark.read.table(name).drop("bucket")
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Fold one micro-batch into the history.
 

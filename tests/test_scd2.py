@@ -130,3 +130,15 @@ def test_nothing_to_apply(spark):
     target = streamed(spark, [empty])
     assert target.head(spark) == (0, {})
     assert target.read(spark, empty.schema).count() == 0
+
+
+def test_published_table_follows_the_history(spark, rows):
+    first = changes(spark, ("a", T1, "x"), ("b", T2, "q"))
+    target = streamed(spark, [first])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pub LOCATION '{scratch_path(spark, 'pub')}'")
+    assert rows(target.publish(spark, "pub.h", first.schema)) == rows(target.read(spark, first.schema))
+    target.upsert(changes(spark, ("a", T2, "y"), ("c", T1, "n"), ("d", T1, "n"), ("e", T1, "n")), 1)
+    assert rows(target.publish(spark, "pub.h", first.schema)) == rows(target.read(spark, first.schema))
+    assert spark.table("pub.h").count() == 6
+    statistics = spark.sql("DESCRIBE EXTENDED pub.h").filter("col_name = 'Statistics'").first()["data_type"]
+    assert int(statistics.split()[0]) > 0
