@@ -4,24 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# With at most this many versions per key the plain join compares every reading with
-# few candidates; beyond it the work per reading would grow with the history.
-DIRECT_LIMIT = 32
+from plantlake.operators.ordering import with_last_before
+
+# At most this many versions are compared with one reading, per key or per time bucket.
+CANDIDATES = 32
+
+# Bucket widths from coarse to fine, each with the chunk its boundaries are carried through.
+CHUNKS = {
+    "day": "year",
+    "hour": "month",
+    "minute": "day",
+    "second": "hour",
+    "millisecond": "minute",
+    "microsecond": "minute",
+}
 
 
 def _valid(at: Column, start: Column, end: Column) -> Column:
     return (at >= start) & (end.isNull() | (at < end))
 
 
-def longest_history(versions: DataFrame, keys: Sequence[str]) -> int:
-    """Largest number of versions of one key; one aggregate over the dimension."""
-    counts = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def most_versions(versions: DataFrame, keys: Sequence[str], start: str, unit: str | None = None) -> int:
+    """Largest number of versions of one key, or of one key within one time unit."""
+    bucket = [F.date_trunc(unit, F.col(start)).alias("bucket")] if unit else []
+    counts = versions.groupBy(*[F.col(k) for k in keys], *bucket).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.max("n")).first()[0] or 0
 
 
+def bucket_unit(versions: DataFrame, keys: Sequence[str], start: str) -> str:
+    """The widest bucket in which no key has more versions than a reading may be compared with."""
+    fits = (u for u in CHUNKS if most_versions(versions, keys, start, u) <= CANDIDATES)
+    return next(fits, "microsecond")
+
+
 def join_valid_at(
     facts: DataFrame,
     versions: DataFrame,
@@ -31,21 +49,23 @@ def join_valid_at(
     end: str,
     take: Sequence[str],
     method: str = "auto",
-    unit: str = "hour",
+    unit: str | None = None,
 ) -> DataFrame:
     """Add ``take`` of the version with ``start <= at < end`` (NULL end = open); unmatched facts stay.
 
     The versions of a key must not overlap, which a type 2 history guarantees.
     ``direct`` is an equi join with a range residual: Catalyst broadcasts a small dimension,
     and the fact table is not shuffled. ``bucketed`` keeps the comparisons per fact small
-    for any history length. ``auto`` looks at the history and picks one.
+    for any history; ``unit`` is the width of its buckets. ``auto``, and a missing ``unit``,
+    are decided by counting the versions, with aggregates over the dimension only.
     """
     keys, take = list(keys), list(take)
     if method == "auto":
-        method = "direct" if longest_history(versions, keys) <= DIRECT_LIMIT else "bucketed"
+        method = "direct" if most_versions(versions, keys, start) <= CANDIDATES else "bucketed"
     if method == "direct":
         return _direct(facts, versions, keys, at, start, end, take)
     if method == "bucketed":
+        unit = unit or bucket_unit(versions, keys, start)
         return _bucketed(facts, versions, keys, at, start, end, take, unit)
     raise ValueError(f"unknown join method: {method}")
 
@@ -70,8 +90,7 @@ def _bucketed(facts, versions, keys, at, start, end, take, unit) -> DataFrame:
     """Equi join on (key, time bucket).
 
     The candidates of a bucket are the versions that start in it, and the one already open
-    when it begins. The latter is found on rows of (key, bucket) only, at most one per
-    calendar unit and key. A hot key is spread over its buckets; should one bucket still be
+    when it begins. The latter is found on one row per (key, bucket). A hot key is spread over its buckets; should one bucket still be
     hot, the adaptive skew join splits its readings, since the facts are the preserved side.
     """
     version = F.struct(F.col("_v_start"), F.col("_v_end"), *take)
@@ -87,12 +106,13 @@ def _bucketed(facts, versions, keys, at, start, end, take, unit) -> DataFrame:
         .distinct()
         .select("*", F.lit(None).cast(latest.schema["_latest"].dataType).alias("_latest"), F.lit(True).alias("_wanted"))
     )
-    earlier = Window.partitionBy(*v_keys).orderBy("_v_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
+    spine = (
         latest.unionByName(wanted)
         .groupBy(*v_keys, "_v_bucket")
         .agg(F.max("_latest").alias("_latest"), F.max("_wanted").alias("_wanted"))
-        .withColumn("_v", F.last("_latest", ignorenulls=True).over(earlier))
+    )
+    carried = (
+        with_last_before(spine, v_keys, "_v_bucket", "_latest", "_v", CHUNKS[unit])
         .filter("_wanted AND _v IS NOT NULL AND (_v._v_end IS NULL OR _v._v_end > _v_bucket)")
         .select(*v_keys, "_v_bucket", "_v")
     )

@@ -16,14 +16,14 @@ from pyspark.sql import types as T
 from plantlake.session import write_through
 
 
-def chunk_of(df: DataFrame, column: str, unit: str = "day", width: int = 1_000_000) -> Column:
+def chunk_of(df: DataFrame, column: str, unit: str = "hour", width: int = 1_000_000) -> Column:
     """The chunk a value of ``column`` falls in: a calendar unit, or ``width`` for numbers."""
     if isinstance(df.schema[column].dataType, T.NumericType):
         return F.floor(F.col(column) / F.lit(width))
     return F.date_trunc(unit, F.col(column))
 
 
-def with_next(df: DataFrame, keys: Sequence[str], order: str, output: str, unit: str = "day") -> DataFrame:
+def with_next(df: DataFrame, keys: Sequence[str], order: str, output: str, unit: str = "hour") -> DataFrame:
     """Add the next value of ``order`` within the key; (keys, order) must be unique and not NULL.
 
     Equal to ``lead(order) OVER (PARTITION BY keys ORDER BY order)``. The rows are shuffled
@@ -48,6 +48,34 @@ def with_next(df: DataFrame, keys: Sequence[str], order: str, output: str, unit:
     )
 
 
+def with_last_before(
+    df: DataFrame, keys: Sequence[str], order: str, value: str, output: str, unit: str = "hour"
+) -> DataFrame:
+    """Add the latest non-NULL ``value`` among the earlier rows of the key; (keys, order) must be unique.
+
+    Equal to ``last(value) IGNORE NULLS OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN
+    UNBOUNDED PRECEDING AND 1 PRECEDING)``, cut into chunks like `with_next`.
+    """
+    keys = list(keys)
+    cut = df.withColumn("_chunk", chunk_of(df, order, unit))
+    latest = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
+    ends = cut.groupBy(*keys, "_chunk").agg(latest.alias("_latest"))
+
+    def earlier(part: list[str], by: str):
+        return Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+
+    before = ends.select(
+        *keys, "_chunk", F.last("_latest", ignorenulls=True).over(earlier(keys, "_chunk")).alias("_before")
+    )
+    inside = F.last(value, ignorenulls=True).over(earlier([*keys, "_chunk"], order))
+    return (
+        cut.withColumn("_inside", inside)
+        .join(before, [*keys, "_chunk"])
+        .withColumn(output, F.coalesce("_inside", "_before"))
+        .select(*df.columns, output)
+    )
+
+
 def dense_number(df: DataFrame, order: Sequence[str], output: str) -> DataFrame:
     """Number all rows 0, 1, 2 … in the given total order, without a global window.
 

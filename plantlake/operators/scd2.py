@@ -41,7 +41,7 @@ def apply_scd2(
     keys: Sequence[str],
     sequence_by: str,
     tie_break: Sequence[str] = (),
-    chunk_unit: str = "day",
+    chunk_unit: str = "hour",
 ) -> DataFrame:
     """Versions with ``[__START_AT, __END_AT)``; the current version has a NULL end.
 

@@ -5,14 +5,14 @@ from conftest import at
 
 from pyspark.sql import functions as F
 
-from plantlake.operators.interval_join import DIRECT_LIMIT, join_valid_at, longest_history
+from plantlake.operators.interval_join import CANDIDATES, CHUNKS, bucket_unit, join_valid_at, most_versions
 from plantlake.operators.scd2 import END, START, apply_scd2
 
 METHODS = ["direct", "bucketed", "auto"]
 
 
-def joined(facts, versions, method):
-    return join_valid_at(facts, versions, ["m"], "ts", START, END, ["sk"], method=method)
+def joined(facts, versions, method, unit=None):
+    return join_valid_at(facts, versions, ["m"], "ts", START, END, ["sk"], method=method, unit=unit)
 
 
 @pytest.mark.parametrize("method", METHODS)
@@ -46,9 +46,20 @@ def test_long_hot_history_against_brute_force(spark, rows):
     for i, m, s in readings:
         begun = [t for n, t in starts if n == m and t <= s]
         want[i] = key[m, max(begun)] if begun else None
-    assert longest_history(history, ["m"]) > DIRECT_LIMIT
-    for method in METHODS:
-        assert dict(rows(joined(facts, history, method), "id", "sk")) == want
+    assert most_versions(history, ["m"], START) > CANDIDATES
+    assert bucket_unit(history, ["m"], START) == "hour"
+    for method, unit in [("direct", None), ("auto", None), *[("bucketed", u) for u in CHUNKS]]:
+        assert dict(rows(joined(facts, history, method, unit), "id", "sk")) == want, (method, unit)
+
+
+def test_bucket_width_follows_the_densest_key(spark):
+    def history(step, n=200):
+        starts = spark.range(n).select(F.lit("hot").alias("m"), F.timestamp_micros(F.col("id") * step).alias(START))
+        return starts.unionByName(spark.range(3).select(F.col("id").cast("string").alias("m"), F.lit("2024-01-01").cast("timestamp").alias(START)))
+
+    steps = {"day": 3_600_000_000, "hour": 240_000_000, "minute": 4_000_000, "second": 100_000, "millisecond": 50, "microsecond": 1}
+    for unit, step in steps.items():
+        assert bucket_unit(history(step), ["m"], START) == unit
 
 
 def test_unknown_method(spark):

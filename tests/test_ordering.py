@@ -5,7 +5,7 @@ from conftest import at
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from plantlake.operators.ordering import dense_number, with_next
+from plantlake.operators.ordering import dense_number, with_last_before, with_next
 
 
 def skewed(spark, n=600, seed=3):
@@ -36,3 +36,11 @@ def test_dense_number_is_the_row_number(spark, rows):
 
 def test_dense_number_of_nothing(spark):
     assert dense_number(spark.createDataFrame([], "id int"), ["id"], "n").count() == 0
+
+
+def test_with_last_before_equals_the_window(spark, rows):
+    df = skewed(spark).withColumn("v", F.when(F.abs(F.hash("key", "seq")) % 4 == 0, F.hash("seq")))
+    earlier = Window.partitionBy("key").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    plain = df.withColumn("prev", F.last("v", ignorenulls=True).over(earlier))
+    for unit in ("hour", "day", "year"):
+        assert rows(with_last_before(df, ["key"], "seq", "v", "prev", unit)) == rows(plain)
