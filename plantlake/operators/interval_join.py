@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,10 @@ def join_valid_at(
     raise ValueError(f"unknown join method: {method}")
 
 
+def _all_present(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
 def _right_side(versions: DataFrame, keys: list[str], start: str, end: str, take: list[str]) -> DataFrame:
     return versions.select(
         *[F.col(k).alias(f"_v_{k}") for k in keys],
@@ -90,33 +95,37 @@ def _bucketed(facts, versions, keys, at, start, end, take, unit) -> DataFrame:
     """Equi join on (key, time bucket).
 
     The candidates of a bucket are the versions that start in it, and the one already open
-    when it begins. The latter is found on one row per (key, bucket). A hot key is spread over its buckets; should one bucket still be
-    hot, the adaptive skew join splits its readings, since the facts are the preserved side.
+    when it begins. The latter is found on one row per (key, bucket). A hot key is spread
+    over its buckets; should one bucket still be hot, the adaptive skew join splits its
+    readings, since the facts are the preserved side.
     """
-    version = F.struct(F.col("_v_start"), F.col("_v_end"), *take)
-    bounded = _right_side(versions, keys, start, end, take).select(
-        *[F.col(f"_v_{k}") for k in keys], F.date_trunc(unit, F.col("_v_start")).alias("_v_bucket"), version.alias("_v")
-    )
     v_keys = [f"_v_{k}" for k in keys]
-
-    latest = bounded.groupBy(*v_keys, "_v_bucket").agg(F.max("_v").alias("_latest"), F.lit(False).alias("_wanted"))
+    on_bucket = [*v_keys, "_v_bucket"]
+    version = F.struct("_v_start", "_v_end", *take)
+    placed = _right_side(versions, keys, start, end, take).select(
+        *v_keys, F.date_trunc(unit, "_v_start").alias("_v_bucket"), version.alias("_v")
+    )
+    # NULLs are filtered in so many words on both inputs: the plan below reads each of them
+    # twice, and only equal branches share one exchange.
+    placed = placed.filter(_all_present(on_bucket))
+    latest = placed.groupBy(*on_bucket).agg(F.max("_v").alias("_latest"), F.lit(False).alias("_wanted"))
     wanted = (
-        facts.select(*[F.col(k).alias(f"_v_{k}") for k in keys], F.date_trunc(unit, F.col(at)).alias("_v_bucket"))
-        .dropna()
+        facts.select(*[F.col(k).alias(f"_v_{k}") for k in keys], F.date_trunc(unit, at).alias("_v_bucket"))
+        .filter(_all_present(on_bucket))
         .distinct()
         .select("*", F.lit(None).cast(latest.schema["_latest"].dataType).alias("_latest"), F.lit(True).alias("_wanted"))
     )
     spine = (
         latest.unionByName(wanted)
-        .groupBy(*v_keys, "_v_bucket")
+        .groupBy(*on_bucket)
         .agg(F.max("_latest").alias("_latest"), F.max("_wanted").alias("_wanted"))
     )
     carried = (
         with_last_before(spine, v_keys, "_v_bucket", "_latest", "_v", CHUNKS[unit])
         .filter("_wanted AND _v IS NOT NULL AND (_v._v_end IS NULL OR _v._v_end > _v_bucket)")
-        .select(*v_keys, "_v_bucket", "_v")
+        .select(*on_bucket, "_v")
     )
-    candidates = bounded.unionByName(carried).select(*v_keys, "_v_bucket", "_v.*")
+    candidates = placed.unionByName(carried).select(*on_bucket, "_v.*")
 
     on = [F.col(k) == F.col(f"_v_{k}") for k in keys]
     on.append(F.date_trunc(unit, F.col(at)) == F.col("_v_bucket"))

@@ -42,7 +42,7 @@ def with_next(df: DataFrame, keys: Sequence[str], order: str, output: str, unit:
     inside = F.lead(order).over(Window.partitionBy(*keys, "_chunk").orderBy(order))
     return (
         cut.withColumn("_inside", inside)
-        .join(following, [*keys, "_chunk"])
+        .join(following, [*keys, "_chunk"], "left")
         .withColumn(output, F.coalesce("_inside", "_following"))
         .select(*df.columns, output)
     )
@@ -54,7 +54,8 @@ def with_last_before(
     """Add the latest non-NULL ``value`` among the earlier rows of the key; (keys, order) must be unique.
 
     Equal to ``last(value) IGNORE NULLS OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN
-    UNBOUNDED PRECEDING AND 1 PRECEDING)``, cut into chunks like `with_next`.
+    UNBOUNDED PRECEDING AND 1 PRECEDING)``, cut into chunks like `with_next`. Keys and order
+    must not be NULL.
     """
     keys = list(keys)
     cut = df.withColumn("_chunk", chunk_of(df, order, unit))
@@ -70,7 +71,7 @@ def with_last_before(
     inside = F.last(value, ignorenulls=True).over(earlier([*keys, "_chunk"], order))
     return (
         cut.withColumn("_inside", inside)
-        .join(before, [*keys, "_chunk"])
+        .join(before, [*keys, "_chunk"], "left")
         .withColumn(output, F.coalesce("_inside", "_before"))
         .select(*df.columns, output)
     )
