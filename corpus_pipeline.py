@@ -27,3 +27,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows appear as often as the mixture takes them."""
     return mixed_rows(docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("mixing", mixing_stage),
+]
+
+#: SQL can express neither the learnt model nor the draws of the mixture; see tests/llm.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 <
         if not batch.num_rows:
             continue
         text = batch.column(column)
-        ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(text), 0), dtype=np.int64))
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(text), 0), dtype=np.int64))
         first = 0
         while first < batch.num_rows:
             base = ends[first - 1] if first else 0
@@ -64,7 +65,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 <
 
 def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a column of texts, one after the other, and the offsets of the texts (NULL: empty)."""
-    text = pa.compute.fill_null(text, "")
+    text = pc.fill_null(text, "")
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
     wide = pa.types.is_large_string(text.type)

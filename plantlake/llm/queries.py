@@ -28,6 +28,13 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@query
+def op2_fingerprints(spark, sf_dir):
+    from plantlake.llm.fingerprints import compare_with_edits
+
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_token_counts(spark, sf_dir):
     from plantlake.llm.token_counts import count_tokens
