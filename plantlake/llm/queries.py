@@ -28,6 +28,23 @@ def llm_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@query
+def op1_secret_scan(spark, sf_dir):
+    from plantlake.llm.secrets import rendered, train, with_secrets
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_secrets(docs, train(docs))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(rendered("base"), 256).alias("base_sha256"),
+        rendered("spans").alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_random"),
+    )
+
+
 @query
 def op2_fingerprints(spark, sf_dir):
     from plantlake.llm.fingerprints import compare_with_edits
@@ -35,6 +52,13 @@ def op2_fingerprints(spark, sf_dir):
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_ngram_join(spark, sf_dir):
+    from plantlake.llm.ngram_join import similar_texts
+
+    return similar_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_token_counts(spark, sf_dir):
     from plantlake.llm.token_counts import count_tokens
