@@ -52,6 +52,13 @@ def op2_fingerprints(spark, sf_dir):
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_sentencepiece(spark, sf_dir):
+    from plantlake.llm.sentencepiece import encode_texts
+
+    return encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op5_ngram_join(spark, sf_dir):
     from plantlake.llm.ngram_join import similar_texts
