@@ -195,7 +195,7 @@ def grouped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]
         yield pa.Table.from_batches(held)
 
 
-_FOUND = T.StructType([T.StructField("cls", T.LongType()), T.StructField("links", T.LongType()), T.StructField("root", T.LongType())])
+FOUND = T.StructType([T.StructField("cls", T.LongType()), T.StructField("links", T.LongType()), T.StructField("root", T.LongType())])
 
 
 def found_batch(cls: np.ndarray, weight: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch | None:
@@ -207,7 +207,7 @@ def found_batch(cls: np.ndarray, weight: np.ndarray, i: np.ndarray, j: np.ndarra
     np.add.at(links, j, weight[i])
     root = cls[forest(len(cls), i, j)]
     has = links > 0
-    return pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (cls, links, root)], names=_FOUND.names)
+    return pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (cls, links, root)], names=FOUND.names)
 
 
 def _units(threshold: float):
@@ -309,7 +309,7 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     contents = stored(contents.join(wanted.drop("rep"), "cls"), "join-contents")
     units = with_blocks(members).join(contents, "cls").select("key", "lo", "hi", "block", "cls", "m", "shingles", "signature", "met")
     units = units.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    found = stored(units.mapInArrow(_units(threshold), _FOUND), "join-found")
+    found = stored(units.mapInArrow(_units(threshold), FOUND), "join-found")
     return joined_rows(signed.select("id", "cls"), classes.select("cls", "m", "rep"), found)
 
 

@@ -90,3 +90,13 @@ def op8_mixing(spark, sf_dir):
 
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op10_embedding_near_duplicates(spark, sf_dir):
+    from plantlake.llm.embeddings import similar_vectors
+
+    found = similar_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
+    )
