@@ -52,6 +52,23 @@ def op2_fingerprints(spark, sf_dir):
     return compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    from plantlake.llm.quality import agreed_labels
+    from plantlake.llm.toxicity import fit_toxicity, score_texts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = agreed_labels(table(spark, sf_dir, "labels"), "toxic").filter(remainder("doc_id", 3) != 1)
+    model = fit_toxicity(docs, known)
+    return score_texts(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "matched_clauses",
+    )
+
+
 @query
 def op4_sentencepiece(spark, sf_dir):
     from plantlake.llm.sentencepiece import encode_texts
