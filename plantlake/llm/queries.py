@@ -109,6 +109,13 @@ def op8_mixing(spark, sf_dir):
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query
+def op9_repeated_passages(spark, sf_dir):
+    from plantlake.llm.repeats import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_embedding_near_duplicates(spark, sf_dir):
     from plantlake.llm.embeddings import similar_vectors
