@@ -1,37 +1,84 @@
 """Corpus preparation in stages: quality, near duplicates, secrets, mixture, tokens.
 
-Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet, and the next stage reads that.
+Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet, and the next stage reads that. All but the
+last return the columns of ``docs``. NULL texts count as empty and pass like them.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm.common import remainder, ship, stored, table
+from plantlake.llm.common import ship, stored, table
 from plantlake.llm.mixing import mixed_rows
+from plantlake.llm.ngram_join import similar_texts
 from plantlake.llm.quality import fit_rules, labelled, text_statistics
+from plantlake.llm.secrets import redacted, train, with_secrets
+from plantlake.llm.sentencepiece import encode_texts
 from plantlake.session import configure
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+QUALITY_BOUND = 0.7
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches 0.7 stay. Learnt on the labels of the documents that arrive."""
+    """Documents whose quality score reaches 0.7 stay.
+
+    The statistics of the labelled documents alone are written for training. Scoring measures a text on its way
+    from the input to the output, so that no text is shuffled or written twice.
+    """
+    ship(configure(spark))
+    labels = table(spark, sf_dir, "labels")
+    measured = stored(text_statistics(docs), "pipeline-quality")
+    model = fit_rules(labelled(measured, labels, "quality", "doc_id", 4, 2))
+    return text_statistics(docs, keep=docs.columns).filter(model.score() >= QUALITY_BOUND).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked at a similarity of 0.8 the one with the smallest id stays.
+
+    Of rows that agree in id and text one stays. Documents without words stay, and so do rows without ids.
+    """
     ship(configure(spark))
-    measured = stored(text_statistics(docs, keep=docs.columns), "pipeline-quality")
-    model = fit_rules(labelled(measured, table(spark, sf_dir, "labels"), "quality", "doc_id", 4, 2))
-    return measured.filter(model.score() >= 0.7).select(*docs.columns)
+    groups = similar_texts(docs).withColumnsRenamed({"id": "doc_id", "text_hash": "mark"})
+    gone = stored(groups.filter("doc_id <> component_id").select("doc_id", "mark").distinct(), "pipeline-copies")
+    same = groups.filter("doc_id = component_id and n_links > 0").groupBy("doc_id", "mark").count().filter("count > 1")
+    same = stored(same.select("doc_id", "mark"), "pipeline-repeated")
+    kept = docs.withColumn("mark", F.xxhash64("text")).join(gone, ["doc_id", "mark"], "left_anti")
+    if not same.isEmpty():
+        once = kept.join(same, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+        kept = kept.join(same, ["doc_id", "mark"], "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets in its text become a mark, and n_chars follows."""
+    configure(spark)
+    found = with_secrets(docs, train(docs))
+    text = redacted("text", "spans")
+    return found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))).withColumn(
+        "text", text
+    ).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows appear as often as the mixture takes them."""
+    """Rows appear as often as the mixture takes them, so that sources come near their targets."""
+    configure(spark)
     return mixed_rows(docs)
 
 
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each row, and whether decoding gives the text again."""
+    ship(configure(spark))
+    return encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES = [
     ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("secrets", secret_stage),
     ("mixing", mixing_stage),
+    ("tokens", token_stage),
 ]
 
 #: SQL can express neither the learnt model nor the draws of the mixture; see tests/llm.

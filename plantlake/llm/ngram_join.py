@@ -12,8 +12,8 @@ its words; a text without words (or NULL) has none and links with nothing.
    counts in the least one.
 4. Units return link counts and a spanning forest, not pairs. Star contractions make components of the forest.
 
-``similar_texts`` returns one row per input row: id, n_links (other rows linked directly, copies included) and
-component_id (smallest id reachable). Rows with NULL id have no links and a NULL component. Rows that share an id are separate rows.
+``similar_texts`` returns one row per input row: id, text_hash, n_links (other rows linked directly, copies included)
+and component_id (smallest id reachable). Rows with NULL id have no links and a NULL component. Rows that share an id are separate rows.
 """
 
 from __future__ import annotations
@@ -261,9 +261,9 @@ def shared_buckets(exploded: DataFrame) -> DataFrame:
 
 
 def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_field = narrow.schema["id"]
-    signed_schema = T.StructType([id_field, T.StructField("cls", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    id_field, hash_field = narrow.schema["id"], narrow.schema["text_hash"]
+    signed_schema = T.StructType([id_field, hash_field, T.StructField("cls", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
@@ -273,7 +273,8 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 cls.append(set_hash(found) if len(found) else None)
                 bands.append(band_keys(minhash(found)) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cls, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=signed_schema.names
+                [batch.column(0), batch.column(2), pa.array(cls, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=signed_schema.names,
             )
 
     signed = stored(narrow.mapInArrow(sign, signed_schema), "join-signed")
@@ -310,11 +311,11 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     units = with_blocks(members).join(contents, "cls").select("key", "lo", "hi", "block", "cls", "m", "shingles", "signature", "met")
     units = units.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     found = stored(units.mapInArrow(_units(threshold), FOUND), "join-found")
-    return joined_rows(signed.select("id", "cls"), classes.select("cls", "m", "rep"), found)
+    return joined_rows(signed.select("id", "text_hash", "cls"), classes.select("cls", "m", "rep"), found)
 
 
 def joined_rows(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """id, n_links, component_id for each row. ``classes``: cls, m, rep; ``found``: cls, links, root."""
+    """The columns of ``rows`` but cls, n_links and component_id. ``rows``: id, cls; ``classes``: cls, m, rep; ``found``: cls, links, root."""
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     known = classes.join(links, "cls", "left").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
@@ -326,5 +327,7 @@ def joined_rows(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFr
     )
     joined = rows.withColumn("cls", F.when(F.col("id").isNotNull(), F.col("cls"))).join(result, "cls", "left")
     return joined.select(
-        "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id")
+        *[c for c in rows.columns if c != "cls"],
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "id").alias("component_id"),
     )

@@ -80,7 +80,9 @@ def op4_sentencepiece(spark, sf_dir):
 def op5_ngram_join(spark, sf_dir):
     from plantlake.llm.ngram_join import similar_texts
 
-    return similar_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return similar_texts(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_links", "component_id"
+    )
 
 
 @query
