@@ -305,7 +305,9 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     wanted = classes.select("cls", "m", "rep").join(met, "cls")
     wanted = stored(wanted, "join-wanted")
-    texts = narrow.join(wanted.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("text")
+    # One join form at every size: the wanted ids grow with the input, so they are not broadcast.
+    ids = wanted.select(F.col("rep").alias("id")).distinct().hint("merge")
+    texts = narrow.select("id", "text").join(ids, "id", "left_semi").select("text")
     contents = texts.mapInArrow(content, schema).dropDuplicates(["cls"])
     contents = stored(contents.join(wanted.drop("rep"), "cls"), "join-contents")
     units = with_blocks(members).join(contents, "cls").select("key", "lo", "hi", "block", "cls", "m", "shingles", "signature", "met")

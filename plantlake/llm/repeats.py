@@ -117,7 +117,7 @@ def _home(cls: np.ndarray, spread: int) -> np.ndarray:
     return (mixed(cls.view(np.uint64).copy()) % np.uint64(spread)).astype(np.int64)
 
 
-def _combined(gathered: list[tuple], spread: int) -> Iterator[pa.RecordBatch]:
+def _combined(gathered: list[tuple], spread: int, crowd: int) -> Iterator[pa.RecordBatch]:
     """The runs of a task: equal ones once, the rest covered; crowded anchors as a mark and as windows to be asked for."""
     if not gathered:
         return
@@ -127,7 +127,7 @@ def _combined(gathered: list[tuple], spread: int) -> Iterator[pa.RecordBatch]:
     new_hash = np.concatenate(([True], hashes[1:] != hashes[:-1]))
     new_text = new_hash | np.concatenate(([True], text[1:] != text[:-1]))
     group = np.cumsum(new_hash) - 1
-    crowded = (np.bincount(group, weights=new_text) > CROWD)[group]
+    crowded = (np.bincount(group, weights=new_text) > crowd)[group]
     kind = np.where(new_text, np.where(crowded, ASK_CROWDED, -1), COVERED)
     told = kind >= 0
     yield from _pack(2, _home(cls[told], spread), {"id": ids[told], "cls": cls[told], "start": start[told], "count": count[told], "kind": kind[told], "hash": hashes[told]})
@@ -137,7 +137,7 @@ def _combined(gathered: list[tuple], spread: int) -> Iterator[pa.RecordBatch]:
     yield from _pack(1, (hashes[sent] % np.uint64(spread)).astype(np.int64), columns)
 
 
-def _anchor_rows(spread: int):
+def _anchor_rows(spread: int, crowd: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, held = [], 0
         for batch in slices(batches, 2):
@@ -149,14 +149,14 @@ def _anchor_rows(spread: int):
                 gathered.append((hashes, text, np.full(len(start), i, dtype=np.int64), np.full(len(start), c, dtype=np.int64), start, count))
                 held += len(start)
             if held >= GATHERED:
-                yield from _combined(gathered, spread)
+                yield from _combined(gathered, spread, crowd)
                 gathered, held = [], 0
-        yield from _combined(gathered, spread)
+        yield from _combined(gathered, spread, crowd)
 
     return run
 
 
-def _judged_anchors(spread: int):
+def _judged_anchors(spread: int, crowd_all: int):
     """Runs of one anchor: later equal ones are covered, others are asked about if the anchor has several texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +174,7 @@ def _judged_anchors(spread: int):
         new_text = real & (new_hash | np.concatenate(([True], (c["text"][1:] != c["text"][:-1]) | (c["kind"][1:] != c["kind"][:-1]))))
         group = np.cumsum(new_hash) - 1
         texts = np.bincount(group, weights=new_text)[group]
-        crowded = (np.bincount(group, weights=c["kind"] == 1)[group] > 0) | (texts > CROWD_ALL)
+        crowded = (np.bincount(group, weights=c["kind"] == 1)[group] > 0) | (texts > crowd_all)
         kind = np.where(real & ~new_text, COVERED, np.where(real & crowded, ASK_CROWDED, np.where(real & (texts > 1), ASK, -1)))
         told = kind >= 0
         columns = {k: c[k][told] for k in ("hash", "id", "cls", "start", "count")} | {"kind": kind[told]}
@@ -447,15 +447,17 @@ def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [*[pa.int64()] * 5, pa.string()], strict=True)], names=_FINAL.names)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, crowd_all: int = CROWD_ALL
+) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row. ``id_col`` holds integers."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = SPREAD * partitions
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("text_cls"), text.alias("body"))
-    first = stored(rows.mapInArrow(_anchor_rows(spread), PACKED), "repeats-anchors")
-    judged = first.filter("stage = 1").repartition(partitions, "key").mapInArrow(_judged_anchors(spread), PACKED)
+    first = stored(rows.mapInArrow(_anchor_rows(spread, crowd), PACKED), "repeats-anchors")
+    judged = first.filter("stage = 1").repartition(partitions, "key").mapInArrow(_judged_anchors(spread, crowd_all), PACKED)
     flags = stored(first.filter("stage = 2").unionByName(judged), "repeats-flags")
 
     def meeting(told: DataFrame, texts: DataFrame) -> DataFrame:
