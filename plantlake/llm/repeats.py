@@ -325,7 +325,7 @@ class _Flags:
         if len(order):
             change[1:] = (self.c["id"][1:] != self.c["id"][:-1]) | (self.c["cls"][1:] != self.c["cls"][:-1])
         first = np.flatnonzero(change)
-        last = np.append(first[1:], len(order))
+        last = np.append(first[1:], len(order))[: len(first)]
         self.at = {(i, c): (a, b) for i, c, a, b in zip(self.c["id"][first].tolist(), self.c["cls"][first].tolist(), first.tolist(), last.tolist(), strict=True)}
 
     def of(self, i: int, cls: int) -> dict[str, np.ndarray]:

@@ -83,3 +83,17 @@ def test_crowded_anchors_equal_brute_force(texts):
 
 def test_empty_table(texts):
     assert without_repeats(texts([])).collect() == []
+
+
+def test_few_texts_leave_partitions_without_flags(texts):
+    rng = random.Random(30)
+    rows = [(i, letters(rng, 300), "s") for i in range(3)] + [(3, "short", "s")]
+    docs = texts(rows)
+    before = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    docs.sparkSession.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        assert sorted(map(tuple, without_repeats(docs).collect()), key=str) == brute(rows)
+        copies = texts([*rows, (4, rows[0][1], "s")])
+        assert sorted(map(tuple, without_repeats(copies).collect()), key=str) == brute([*rows, (4, rows[0][1], "s")])
+    finally:
+        docs.sparkSession.conf.set("spark.sql.shuffle.partitions", before)
