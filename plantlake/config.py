@@ -33,6 +33,9 @@ class PipelineConfig:
             machine_uploads_base=get("plantlake.machine_uploads_base"),
             metadata_base=get("plantlake.metadata_base"),
             tables_base=get("plantlake.tables_base", None),
+            cluster_bronze=get("plantlake.cluster_bronze", "false").lower() == "true",
+            cluster_silver=get("plantlake.cluster_silver", "true").lower() == "true",
+            max_files_per_trigger=int(files) if (files := get("plantlake.max_files_per_trigger", None)) else None,
         )
 
     def schemas(self) -> list[str]:
@@ -54,14 +57,14 @@ class IngestSpec:
 
     table_name: str
     source_path: str
-    schema: T.StructType
+    ddl: str
     cluster_by: tuple[str, ...] = ()
     comment: str = ""
 
-
-def _struct(required: str, **optional: T.DataType) -> T.StructType:
-    fields = [T.StructField(name, T.StringType(), False) for name in required.split()]
-    return T.StructType(fields + [T.StructField(name, kind, True) for name, kind in optional.items()])
+    @property
+    def schema(self) -> T.StructType:
+        """The landing columns; parsing DDL needs a session, so not at import time."""
+        return T.DataType.fromDDL(self.ddl)
 
 
 # Names, order and types of the landing columns.
@@ -70,17 +73,9 @@ MACHINE_METADATA = IngestSpec(
     source_path="machine_metadata",
     cluster_by=("_loading_ts", "machine_id"),
     comment="Machine metadata change feed as it arrived in the landing folder",
-    schema=_struct(
-        "machine_id",
-        machine_name=T.StringType(),
-        location=T.StringType(),
-        machine_type=T.StringType(),
-        manufacturer=T.StringType(),
-        installation_date=T.TimestampType(),
-        timestamp=T.TimestampType(),
-        status=T.StringType(),
-        max_temperature=T.DoubleType(),
-        max_pressure=T.DoubleType(),
+    ddl=(
+        "machine_id string, machine_name string, location string, machine_type string, manufacturer string,"
+        " installation_date timestamp, timestamp timestamp, status string, max_temperature double, max_pressure double"
     ),
 )
 
@@ -89,14 +84,8 @@ SENSOR_DATA = IngestSpec(
     source_path="sensor_data",
     cluster_by=("_loading_ts", "machine_id"),
     comment="Sensor readings as they arrived in the landing folder",
-    schema=_struct(
-        "reading_id machine_id",
-        timestamp=T.TimestampType(),
-        temperature=T.DoubleType(),
-        pressure=T.DoubleType(),
-        vibration=T.DoubleType(),
-        power_consumption=T.DoubleType(),
-        error_code=T.StringType(),
-        is_anomaly=T.BooleanType(),
+    ddl=(
+        "reading_id string, machine_id string, timestamp timestamp, temperature double, pressure double,"
+        " vibration double, power_consumption double, error_code string, is_anomaly boolean"
     ),
 )

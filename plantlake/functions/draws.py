@@ -1,7 +1,8 @@
 """Seeded draws as column expressions.
 
 Every value is a function of (seed, dataset, field, row id), so it does not depend on the
-partitioning, on retries or on the order of execution. One md5 gives four 32-bit draws.
+partitioning, on retries or on the order of execution. One md5 gives four 32-bit draws;
+a whole number from a range of more than 2^32 members takes 52 bits instead.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VALUE, IS_NULL, SECOND, THIRD = range(4)
+DAY = 86_400
 
 
 @dataclass(frozen=True)
@@ -28,15 +30,19 @@ class Draws:
     def digest(self) -> Column:
         return F.md5(F.concat(F.lit(f"{self.seed}|{self.dataset}|{self.field}|"), self.row_id.cast("string")))
 
-    def unit(self, slot: int = VALUE) -> Column:
-        """Uniform double in [0, 1)."""
-        number = F.conv(F.substring(self.digest(), 1 + 8 * slot, 8), 16, 10)
-        return number.cast("double") / F.lit(float(1 << 32))
+    def unit(self, slot: int = VALUE, digits: int = 8) -> Column:
+        """Uniform double in [0, 1), of that many hex digits."""
+        number = F.conv(F.substring(self.digest(), 1 + 8 * slot, digits), 16, 10)
+        return number.cast("double") / F.lit(float(1 << 4 * digits))
 
-    def below(self, n: int | Column, slot: int = VALUE) -> Column:
-        """Uniform whole number in 0 … n-1."""
-        bound = n if isinstance(n, Column) else F.lit(n)
-        return F.floor(self.unit(slot) * bound)
+    def below(self, n: int, slot: int = VALUE) -> Column:
+        """Uniform whole number in 0 … n-1; every one can be drawn, for n up to 2^52."""
+        if n > 1 << 52:
+            raise ValueError(f"a range of {n} members is beyond the resolution of a draw")
+        wide = n > 1 << 32
+        if wide and slot == THIRD:
+            raise ValueError("the last draw of a field cannot be wide")
+        return F.floor(self.unit(slot, 13 if wide else 8) * F.lit(n))
 
     def integer(self, low: int, high: int) -> Column:
         return self.below(high - low + 1) + F.lit(low)
@@ -71,20 +77,21 @@ class Draws:
     def instant(self, low: dt.datetime, high: dt.datetime) -> Column:
         """ISO text of a whole number of seconds after ``low``, not past ``high``."""
         seconds = int((high - low).total_seconds())
-        return iso_text(low, "SECOND", self.below(seconds + 1))
+        return iso_text(low, self.below(seconds + 1))
 
     def days_back(self, now: dt.datetime, most: int = 30) -> Column:
         """ISO text of ``now`` minus 0 … ``most`` whole days."""
-        return iso_text(now, "DAY", -self.below(most + 1))
+        return iso_text(now, -self.below(most + 1) * F.lit(DAY))
 
 
-def iso_text(start: dt.datetime, unit: str, steps: Column) -> Column:
-    """ISO text of ``start`` moved by whole units; fraction and offset of ``start`` are kept as they are.
+def iso_text(start: dt.datetime, seconds: Column) -> Column:
+    """ISO text of ``start`` moved by whole seconds, however many; fraction and offset of ``start`` are kept as they are.
 
     Computed on a timestamp without zone, so the session zone cannot shift it.
     """
     whole = F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    moved = F.timestamp_add(unit, steps.cast("int"), whole)
+    days, rest = F.floor(seconds / F.lit(DAY)).cast("int"), F.pmod(seconds, F.lit(DAY)).cast("decimal(18,6)")
+    moved = whole + F.make_dt_interval(days, F.lit(0), F.lit(0), rest)
     fraction = f".{start.microsecond:06d}" if start.microsecond else ""
     offset = start.isoformat()[len(start.replace(tzinfo=None).isoformat()):]
     return F.concat(F.translate(moved.cast("string"), " ", "T"), F.lit(fraction + offset))

@@ -163,6 +163,10 @@ _RELATIONAL = {
     "dim_source_clean": _with("SELECT * FROM changes", "B", "MACHINE", "CHANGES"),
     "scd2_history": _history("SELECT * FROM history"),
     "scd2_stream": _history("SELECT * FROM history"),
+    "scd2_stream_rebucketed": _history("SELECT * FROM history"),
+    "dq_stream_metrics": _with(
+        f"SELECT * EXCLUDE (dataset) FROM ({_rules()}) WHERE dataset = 'sensor_data'", "B", "SENSOR", "MACHINE", "FLAGGED", "CHANGES"
+    ),
     "scd2_history_ties": f"WITH {_TIES} SELECT * FROM tied",
     "surrogate_key_dense": f"WITH {_TIES} SELECT row_number() OVER (ORDER BY o_custkey, __START_AT) AS order_sk,"
     " o_custkey, __START_AT, __END_AT FROM tied",
@@ -242,11 +246,13 @@ class _Field:
     def __init__(self, dataset: str, field: str):
         self.digest = f"md5('{SEED}|{dataset}|{field}|' || id)"
 
-    def unit(self, slot: int = 0) -> str:
-        return f"(CAST(CAST('0x' || substr({self.digest}, {1 + 8 * slot}, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE)"
+    def unit(self, slot: int = 0, digits: int = 8) -> str:
+        number = f"CAST(CAST('0x' || substr({self.digest}, {1 + 8 * slot}, {digits}) AS BIGINT) AS DOUBLE)"
+        return f"({number} / {1 << 4 * digits}.0::DOUBLE)"
 
     def below(self, n: int | str, slot: int = 0) -> str:
-        return f"CAST(floor({self.unit(slot)} * {n}) AS BIGINT)"
+        wide = isinstance(n, int) and n > 1 << 32
+        return f"CAST(floor({self.unit(slot, 13 if wide else 8)} * {n}) AS BIGINT)"
 
     def integer(self, low: int, high: int) -> str:
         return f"({self.below(high - low + 1)} + {low})"
@@ -298,17 +304,17 @@ def _synthetic() -> dict[str, str]:
     naive_fraction, day = fraction, 86400
     out = {}
 
-    f = of("people")
-    out["synth_dataset"] = _rows(
-        {"row_id": "id", "id": f("id").integer(1, 100), "name": f("name").pick(synth.WORDS), "is_active": f("is_active").coin()}
-    )
+    f = of("shifts")
+    shift = {"badge": f("badge").integer(7, 9000), "callsign": f("callsign").pick(synth.WORDS), "on_duty": f("on_duty").coin()}
+    out["synth_dataset"] = _rows({"row_id": "id", **shift})
     f = of("numeric")
     out["synth_numeric"] = _rows(
         {
             "row_id": "id",
-            "age": f("age").integer(18, 65),
+            '"offset"': f("offset").integer(-40, 25),
             "any_int": f("any_int").integer(0, 1000),
-            "price": f("price").real(10.0, 100.0),
+            "tick": f("tick").integer(0, 10**12),
+            "ratio": f("ratio").real(-1.0, 1.0),
             "any_float": f("any_float").real(0.0, 1000.0),
         }
     )
@@ -319,8 +325,8 @@ def _synthetic() -> dict[str, str]:
             "row_id": "id",
             "word": f("word").pick(synth.WORDS),
             "flag": f("flag").coin(),
-            "color": f("color").pick(["red", "green", "blue"]),
-            "code": f("code").pick([None, "E001", "W001"]),
+            "shade": f("shade").pick(["teal", "amber", "plum", "slate", "ochre"]),
+            "grade": f("grade").pick(["A", None, "B"]),
             "company": f("company").company(),
             "city": f("city").city(),
             "email": f"lower({first}) || '.' || lower({last}) || '@' || {f('email').pick(synth.MAIL_DOMAINS, 3)}",
@@ -334,8 +340,9 @@ def _synthetic() -> dict[str, str]:
     out["synth_datetime"] = _rows(
         {
             "row_id": "id",
-            "naive": f("naive").seconds_after("2025-01-01 00:00:00", 31 * day - 1),
-            "zoned": f("zoned").seconds_after(days_before(7), 7 * day, fraction),
+            "naive": f("naive").seconds_after("2023-06-15 00:00:00", 90 * day - 1),
+            "century": f("century").seconds_after("1900-01-01 00:00:00", 46020 * day),
+            "zoned": f("zoned").seconds_after(days_before(11), 11 * day, fraction),
             "recent": f"strftime({recent}, '%Y-%m-%dT%H:%M:%S') || '{naive_fraction}'",
         }
     )
@@ -346,11 +353,11 @@ def _synthetic() -> dict[str, str]:
             "row_id": "id",
             "half": f("half").nulled(0.5, f("half").integer(1, 10)),
             "tenth": f("tenth").nulled(0.1, f("tenth").pick(synth.WORDS)),
-            "fixed": f("fixed").nulled(0.1, "999"),
+            "fixed": f("fixed").nulled(0.1, "41"),
         }
     )
-    square = _Field("custom", "squared").below(10)
-    out["synth_custom"] = _rows({"row_id": "id", "constant": "999", "squared": f"{square} * {square}"})
+    area = _Field("custom", "area")
+    out["synth_custom"] = _rows({"row_id": "id", "fixed": "41", "area": f"{area.below(6)} * {area.below(9, 2)}"})
 
     f = of("reference")
     size = "(SELECT count(*) FROM customer)"
@@ -359,11 +366,12 @@ def _synthetic() -> dict[str, str]:
             "row_id": "id",
             "pos": f("customer").below(size),
             "machine_id": f"printf('MACH-%04d', {f('machine_id').below(size)} + 1)",
-            "colour": f("colour").pick(["ID-001", "ID-002", "ID-003"]),
+            "line": f"printf('LINE-%02d', {f('line').below(12)} * 5 % 12)",
+            "lot": f"printf('LOT-%04d', {f('lot').below(1500)} * 7 % 1500)",
         }
     )
     out["synth_reference"] = (
-        "SELECT row_id, c_custkey AS customer, machine_id, colour FROM"
+        "SELECT row_id, c_custkey AS customer, machine_id, line, lot FROM"
         f" ({drawn}) d LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer) c USING (pos)"
     )
     ranked = f"row_number() OVER (ORDER BY md5('{SEED}|' || value), value) - 1"

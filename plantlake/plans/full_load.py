@@ -14,7 +14,7 @@ from plantlake.operators.layout import describe_table, materialize, spread_by_ra
 from plantlake.plans import alerts, gold, silver
 from plantlake.sources.landing import ingest_json
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
-from plantlake.streaming.sinks import append_to_table, observed_counts
+from plantlake.streaming.sinks import append_to_table, counted
 
 COMMENTS = {
     "machine_sk": "Surrogate key of a machine version",
@@ -49,13 +49,21 @@ def load_bronze(spark: SparkSession, cfg: PipelineConfig, spec: IngestSpec, arch
     )
 
 
+def _stream(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
+    """New rows of a bronze table, in micro-batches of the configured size."""
+    reader = spark.readStream
+    if cfg.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+    return reader.table(f"{cfg.bronze_schema}.{table}")
+
+
 def load_fact_sensor(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
-    """Append the valid readings among the new bronze rows; rule counts are in the progress.
+    """Append the valid readings among the new bronze rows; rule counts are in its observed metrics.
 
     The clustering shuffle comes first: range bounds are sampled by an extra run of what
     lies below it, which must not include the counting of rows.
     """
-    bronze = drop_technical_columns(spark.readStream.table(f"{cfg.bronze_schema}.{SENSOR_DATA.table_name}"))
+    bronze = drop_technical_columns(_stream(spark, cfg, SENSOR_DATA.table_name))
     if cfg.cluster_silver:
         bronze = spread_by_range(bronze, ["machine_id", "timestamp"])
     return append_to_table(
@@ -67,6 +75,11 @@ def load_fact_sensor(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery
     )
 
 
+def count_and_load_sensors(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """`load_fact_sensor`, with its rule counts stored by micro-batch; returns their sums."""
+    return counted(spark, "dq", cfg.checkpoint("rule_counts"), lambda: load_fact_sensor(spark, cfg))
+
+
 def history_target(cfg: PipelineConfig, buckets: int = 64) -> HistoryTarget:
     """The stored history; use enough buckets that one of them is a comfortable unit of rewriting."""
     return HistoryTarget(
@@ -80,7 +93,7 @@ def history_target(cfg: PipelineConfig, buckets: int = 64) -> HistoryTarget:
 
 def load_dim_machine_h(spark: SparkSession, cfg: PipelineConfig, buckets: int = 64) -> DataFrame:
     """Fold the new bronze changes into the stored history, and return it."""
-    bronze = spark.readStream.table(f"{cfg.bronze_schema}.{MACHINE_METADATA.table_name}")
+    bronze = _stream(spark, cfg, MACHINE_METADATA.table_name)
     changes = silver.machine_changes(bronze)
     target = history_target(cfg, buckets)
     stream_history(changes, target, cfg.checkpoint("silver_dim_machine_h"))
@@ -137,7 +150,7 @@ def run_full_load(
 
     def load_sensors() -> dict[str, int]:
         load_bronze(spark, cfg, SENSOR_DATA, archive)
-        return observed_counts(load_fact_sensor(spark, cfg), "dq")
+        return count_and_load_sensors(spark, cfg)
 
     def load_machines() -> None:
         load_bronze(spark, cfg, MACHINE_METADATA, archive)

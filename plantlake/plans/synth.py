@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantlake.functions.draws import IS_NULL, SECOND, THIRD, VALUE, Draws
 from plantlake.operators.ordering import dense_number
@@ -17,9 +17,6 @@ from plantlake.sources.files import write_json_lines
 
 DEFAULT_SEED = 42
 
-# A list pool up to this size becomes an array literal; a longer one becomes a table.
-LITERAL_POOL = 1000
-
 
 @dataclass(frozen=True)
 class IdPool:
@@ -50,6 +47,7 @@ class TablePool:
 Pool = Sequence | IdPool | TablePool
 
 
+# Attribute names, defaults and order of the two specifications.
 @dataclass
 class FieldSpec:
     """How one field is generated."""
@@ -135,12 +133,6 @@ def _choice(f: FieldSpec, d: Draws, now: dt.datetime) -> Column:
     return d.pick(f.choices)
 
 
-def _reference(f: FieldSpec, d: Draws, now: dt.datetime) -> Column:
-    if isinstance(f.reference_pool, IdPool):
-        return f.reference_pool.member(d.below(f.reference_pool.size))
-    return d.pick(f.reference_pool)
-
-
 def _provider(f: FieldSpec, d: Draws, now: dt.datetime) -> Column:
     if f.faker_method not in PROVIDERS:
         raise ValueError(f"field '{f.name}': no text provider '{f.faker_method}'")
@@ -155,7 +147,6 @@ KINDS: dict[str, Callable[[FieldSpec, Draws, dt.datetime], Column]] = {
     "datetime": _datetime,
     "uuid": lambda f, d, now: d.uuid(),
     "choice": _choice,
-    "reference": _reference,
     "faker": _provider,
 }
 
@@ -175,22 +166,14 @@ def _nulled(f: FieldSpec, d: Draws, value: Column) -> Column:
     return F.when(d.unit(IS_NULL) >= F.lit(f.null_probability), value) if f.nullable else value
 
 
-def _is_table_pool(f: FieldSpec) -> bool:
-    if isinstance(f.reference_pool, TablePool):
-        return True
-    return not isinstance(f.reference_pool, IdPool) and len(f.reference_pool) > LITERAL_POOL
-
-
-def _pool_table(spark: SparkSession, pool: Pool) -> DataFrame:
-    if isinstance(pool, (IdPool, TablePool)):
-        return pool.table(spark)
-    return spark.createDataFrame([(v,) for v in pool], ["value"])
-
-
-def _pool_size(pool: Pool, table: DataFrame | None = None) -> int:
-    if isinstance(pool, IdPool):
-        return pool.size
-    return table.count() if isinstance(pool, TablePool) else len(pool)
+def _numbered_pool(spark: SparkSession, pool: Pool) -> tuple[DataFrame, int]:
+    """The pool as value, _at (0, 1, 2 …) and its size: list pools by their order, table pools by value."""
+    if isinstance(pool, TablePool):
+        numbered = dense_number(pool.table(spark), ["value"], "_at")
+        return numbered, numbered.count()
+    values = [(v, i) for i, v in enumerate(pool)]
+    kind = spark.createDataFrame([(v,) for v in pool if v is not None][:1] or [("",)], ["value"]).schema["value"].dataType
+    return spark.createDataFrame(values, T.StructType([T.StructField("value", kind), T.StructField("_at", T.LongType())])), len(pool)
 
 
 def generate_dataset(
@@ -203,52 +186,52 @@ def generate_dataset(
 ) -> DataFrame:
     """All fields of ``spec`` for ``num_records`` rows, or for each row of ``rows`` by its id.
 
-    Ids of ``rows`` must be distinct; for unique references they run from 0 without gaps.
-    Plain fields cost no shuffle. A reference into a large table is a join on the drawn
-    position, a unique reference a join on the rank of a shuffled pool.
+    Ids of ``rows`` must be distinct; with unique references they must lie between 0 and the size of
+    the pool. Plain fields cost no shuffle. A reference into a list or a table is a join on the drawn
+    position, whatever its length, and a unique reference a join on the rank of a shuffled pool.
     """
     if rows is None:
         rows, row_id = spark.range(spec.num_records), "id"
     now = now or dt.datetime.now()
     base = rows.select(F.col(row_id).alias("_row"))
-    unique = any(f.reference_unique for f in spec.fields)
-    wanted = rows.count() if unique else spec.num_records
     exprs: dict[str, Column] = {}
     for f in spec.fields:
         d = Draws(seed, spec.name, f.name, F.col("_row"))
-        if f.field_type == "reference" and f.generator is None:
+        # A unique reference comes before a generator of the same field.
+        if f.field_type == "reference" and (f.generator is None or f.reference_unique):
             if f.reference_pool is None:
                 raise ValueError(f"field '{f.name}': type 'reference' needs 'reference_pool'")
             if f.reference_unique:
-                base = _add_unique_reference(base, f, seed, wanted)
+                base = _add_unique_reference(base, f, seed)
                 exprs[f.name] = F.col(f.name)
-                continue
-            if _is_table_pool(f):
-                base = _add_table_reference(base, f, d)
+            elif isinstance(f.reference_pool, IdPool):
+                exprs[f.name] = _nulled(f, d, f.reference_pool.member(d.below(f.reference_pool.size)))
+            else:
+                base = _add_reference(base, f, d)
                 exprs[f.name] = _nulled(f, d, F.col(f.name))
-                continue
+            continue
         exprs[f.name] = field_value(f, d, now)
     return base.select(*[exprs[f.name].alias(f.name) for f in spec.fields])
 
 
-def _add_table_reference(base: DataFrame, f: FieldSpec, d: Draws) -> DataFrame:
-    pool = _pool_table(base.sparkSession, f.reference_pool)
-    numbered = dense_number(pool, ["value"], "_at")
-    drawn = base.withColumn("_at", d.below(_pool_size(f.reference_pool, numbered)))
+def _add_reference(base: DataFrame, f: FieldSpec, d: Draws) -> DataFrame:
+    numbered, size = _numbered_pool(base.sparkSession, f.reference_pool)
+    drawn = base.withColumn("_at", d.below(size))
     return drawn.join(numbered.withColumnRenamed("value", f.name), "_at", "left").drop("_at")
 
 
-def _add_unique_reference(base: DataFrame, f: FieldSpec, seed: int, wanted: int) -> DataFrame:
-    spark, pool = base.sparkSession, f.reference_pool
-    table = _pool_table(spark, pool)
-    size = _pool_size(pool, table)
-    if size < wanted:
-        raise ValueError(f"field '{f.name}': {wanted} records need as many unique values, the pool has {size}")
-    if isinstance(pool, Sequence) and size <= LITERAL_POOL:
-        shuffled = sorted(pool, key=lambda v: hashlib.md5(f"{seed}|{v}".encode()).hexdigest())
-        values = F.array(*[F.lit(v) for v in shuffled])
-        return base.withColumn(f.name, F.get(values, F.col("_row").cast("int")))
-    order = F.md5(F.concat(F.lit(f"{seed}|"), F.col("value").cast("string")))
+def _add_unique_reference(base: DataFrame, f: FieldSpec, seed: int) -> DataFrame:
+    """Members in the order of a seeded hash of their text, so that the order does not depend on how the pool is held."""
+    pool = f.reference_pool
+    table = pool.table(base.sparkSession) if isinstance(pool, (IdPool, TablePool)) else _numbered_pool(base.sparkSession, pool)[0]
+    table = table.select("value")
+    size = pool.size if isinstance(pool, IdPool) else table.count()
+    wanted, least, most = base.agg(F.count("*"), F.min("_row"), F.max("_row")).first()
+    if wanted and (size < wanted or least < 0 or most >= size):
+        raise ValueError(
+            f"field '{f.name}': {wanted} records with ids {least} to {most} need as many unique values, the pool has {size}"
+        )
+    order = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("value").cast("string"), F.lit("NULL"))))
     ranked = dense_number(table.withColumn("_order", order), ["_order", "value"], "_row")
     return base.join(ranked.select("_row", F.col("value").alias(f.name)), "_row", "left")
 

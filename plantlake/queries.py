@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from plantlake.sources.feeds import machine_feed, order_feed, sensor_feed
 from plantlake.sources.files import JSON_TIMESTAMP, read_table_file, write_json_lines
 from plantlake.sources.landing import RESCUED, ingest_json
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
-from plantlake.streaming.sinks import append_to_table
+from plantlake.streaming.sinks import append_to_table, rule_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,6 +133,23 @@ def scd2_stream(spark, sf_dir):
     return target.read(spark, changes.schema)
 
 
+@query
+def scd2_stream_rebucketed(spark, sf_dir):
+    """Four loads, of which the later ones are small, into a target whose number of buckets changes twice."""
+    changes = silver.machine_changes(machine_feed(spark, sf_dir))
+    base = scratch_path(spark, "scd2_rebucketed")
+    part = F.pmod(F.xxhash64("machine_id", "machine_timestamp"), F.lit(50))
+    load_of = F.when(part > 2, 0).otherwise(part + 1)
+    for load, buckets in enumerate((4, 8, 8, 3)):
+        target = HistoryTarget(
+            f"{base}/target", silver.MACHINE_KEYS, silver.MACHINE_SEQUENCE, surrogate="machine_sk", buckets=buckets
+        )
+        changes.filter(load_of == load).write.mode("append").parquet(f"{base}/feed")
+        arriving = spark.readStream.schema(changes.schema).parquet(f"{base}/feed")
+        stream_history(arriving, target, f"{base}/progress")
+    return target.read(spark, changes.schema)
+
+
 # --- gold -------------------------------------------------------------------------------
 
 
@@ -302,6 +320,33 @@ def silver_fact_stream(spark, sf_dir):
     return spark.read.table(f"{cfg.silver_schema}.fact_sensor").drop("_loading_ts")
 
 
+@query
+def dq_stream_metrics(spark, sf_dir):
+    """Rule counts of the streamed readings over more micro-batches than a query remembers."""
+    cfg = replace(_config(spark), max_files_per_trigger=1)
+    cfg.create_schemas(spark)
+    feed = sensor_feed(spark, sf_dir).repartition(6)
+    write_json_lines({"sensor_data": feed}, cfg.machine_uploads_base)
+    full_load.load_bronze(spark, cfg, SENSOR_DATA)
+    setting = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "2")
+    try:
+        full_load.count_and_load_sensors(spark, cfg)
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    names = list(silver.SENSOR_RULES)
+
+    def counted(rule):
+        return F.sum(F.when(F.col("rule") == rule, F.col("passed")))
+
+    counts = rule_history(spark, cfg.checkpoint("rule_counts")).agg(
+        counted("total").alias("total"), *[counted(name).alias(f"r{i}") for i, name in enumerate(names)]
+    )
+    rows = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("passed")) for i, name in enumerate(names)])
+    return counts.select("total", F.inline(rows)).select("rule", "total", "passed", (F.col("total") - F.col("passed")).alias("failed"))
+
+
 @query
 def clustered_write(spark, sf_dir):
     path = scratch_path(spark, "clustered")
@@ -338,20 +383,22 @@ def _over_events(spark, sf_dir, name: str, *fields: synth.FieldSpec) -> DataFram
 def synth_dataset(spark, sf_dir):
     f = synth.FieldSpec
     return _over_events(
-        spark, sf_dir, "people", f("id", "int", min_value=1, max_value=100), f("name", "string"), f("is_active", "bool")
+        spark, sf_dir, "shifts", f("badge", "int", min_value=7, max_value=9000), f("callsign", "string"), f("on_duty", "bool")
     )
 
 
 @query
 def synth_numeric(spark, sf_dir):
+    """Ranges with default, negative and very wide bounds; the last needs more than 32 bits."""
     f = synth.FieldSpec
     return _over_events(
         spark,
         sf_dir,
         "numeric",
-        f("age", "int", min_value=18, max_value=65),
+        f("offset", "int", min_value=-40, max_value=25),
         f("any_int", "int"),
-        f("price", "float", min_value=10.0, max_value=100.0),
+        f("tick", "int", min_value=0, max_value=10**12),
+        f("ratio", "float", min_value=-1.0, max_value=1.0),
         f("any_float", "float"),
     )
 
@@ -365,21 +412,23 @@ def synth_categorical(spark, sf_dir):
         "categorical",
         f("word", "string"),
         f("flag", "bool"),
-        f("color", "choice", choices=["red", "green", "blue"]),
-        f("code", "choice", choices=[None, "E001", "W001"]),
+        f("shade", "choice", choices=["teal", "amber", "plum", "slate", "ochre"]),
+        f("grade", "choice", choices=["A", None, "B"]),
         *[f(method, "faker", faker_method=method) for method in ("company", "city", "email", "name", "country", "address")],
     )
 
 
 @query
 def synth_datetime(spark, sf_dir):
+    """Naive, zoned and recent instants, and a span of more than 2^31 seconds."""
     f = synth.FieldSpec
     return _over_events(
         spark,
         sf_dir,
         "datetime",
-        f("naive", "datetime", min_value="2025-01-01T00:00:00", max_value="2025-01-31T23:59:59"),
-        f("zoned", "datetime", min_value=(SYNTH_NOW - dt.timedelta(days=7)).isoformat(), max_value=SYNTH_NOW.isoformat()),
+        f("naive", "datetime", min_value="2023-06-15T00:00:00", max_value="2023-09-12T23:59:59"),
+        f("century", "datetime", min_value="1900-01-01T00:00:00", max_value="2025-12-31T00:00:00"),
+        f("zoned", "datetime", min_value=(SYNTH_NOW - dt.timedelta(days=11)).isoformat(), max_value=SYNTH_NOW.isoformat()),
         f("recent", "datetime"),
     )
 
@@ -398,7 +447,7 @@ def synth_nullable(spark, sf_dir):
         "nullable",
         f("half", "int", min_value=1, max_value=10, nullable=True, null_probability=0.5),
         f("tenth", "string", nullable=True),
-        f("fixed", "int", generator=F.lit(999), nullable=True),
+        f("fixed", "int", generator=F.lit(41), nullable=True),
     )
 
 
@@ -409,14 +458,14 @@ def synth_custom(spark, sf_dir):
         spark,
         sf_dir,
         "custom",
-        f("constant", "int", generator=F.lit(999)),
-        f("squared", "float", generator=lambda draws: F.floor(draws.unit() * 10) * F.floor(draws.unit() * 10)),
+        f("fixed", "int", generator=F.lit(41)),
+        f("area", "float", generator=lambda draws: draws.below(6) * draws.below(9, slot=2)),
     )
 
 
 @query
 def synth_reference(spark, sf_dir):
-    """Readings refer to customers through a table pool, and to a computed id pool of the same size."""
+    """Readings refer to customers through a table pool, to computed ids, and to a short and a long list."""
     f = synth.FieldSpec
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return _over_events(
@@ -425,7 +474,8 @@ def synth_reference(spark, sf_dir):
         "reference",
         f("customer", "reference", reference_pool=synth.TablePool(customers, "c_custkey")),
         f("machine_id", "reference", reference_pool=synth.IdPool("MACH-", customers.count())),
-        f("colour", "reference", reference_pool=["ID-001", "ID-002", "ID-003"]),
+        f("line", "reference", reference_pool=[f"LINE-{i * 5 % 12:02d}" for i in range(12)]),
+        f("lot", "reference", reference_pool=[f"LOT-{i * 7 % 1500:04d}" for i in range(1500)]),
     )
 
 

@@ -5,6 +5,9 @@ A micro-batch rewrites only the key buckets it touches, into a folder of its own
 (``<root>/heads/version=<n>``). Data that a published map points to is never overwritten,
 so readers always see a complete history. A batch that failed half way leaves no trace,
 and running a batch twice changes nothing. One query may write to a target at a time.
+
+The map also says how many buckets the history was cut into. A target with another number
+cuts the whole history anew, as one published run, before it takes its first batch.
 """
 
 from __future__ import annotations
@@ -15,14 +18,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.operators.scd2 import END, START, applicable, apply_scd2, with_hashed_key
 
-HEAD = "bucket int, run string, version long"
+HEAD = "bucket int, run string, buckets int, version long"
 
 
 @dataclass(frozen=True)
@@ -42,17 +45,21 @@ class HistoryTarget:
         validity = [T.StructField(START, sequence), T.StructField(END, sequence)]
         return T.StructType([*key, *changes.fields, *validity])
 
-    def head(self, spark: SparkSession) -> tuple[int, dict[int, str]]:
-        """The last published version and its bucket -> run map, one entry per bucket at most."""
+    def head(self, spark: SparkSession) -> tuple[int, dict[int, str], int]:
+        """The last published version, its bucket -> run map (one entry per bucket at most) and its number of buckets."""
         try:
             heads = spark.read.schema(HEAD).parquet(f"{self.root}/heads")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return 0, {}
+            return 0, {}, self.buckets
         # The file list already names the versions; no job is needed to find the last one.
         version = max((int(re.search(r"/version=(\d+)/", f)[1]) for f in heads.inputFiles()), default=0)
-        return version, {r.bucket: r.run for r in heads.filter(F.col("version") == version).collect()}
+        rows = heads.filter(F.col("version") == version).collect()
+        counts = {r.buckets for r in rows}
+        if rows and (len(counts) != 1 or None in counts):
+            raise ValueError(f"{self.root}: version {version} does not say how many buckets it has")
+        return version, {r.bucket: r.run for r in rows}, counts.pop() if counts else self.buckets
 
     def _read(self, spark: SparkSession, changes: T.StructType, runs: dict[int, str]) -> DataFrame:
         schema = self._schema(changes)
@@ -82,11 +89,41 @@ class HistoryTarget:
         if added:
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
         for b in known:
-            spark.sql(f"ALTER TABLE {name} PARTITION (bucket={b}) SET {where[b]}")
+            change = f"PARTITION (bucket={b}) SET {where[b]}" if b in where else f"DROP PARTITION (bucket={b})"
+            spark.sql(f"ALTER TABLE {name} {change}")
         # Sizes only, from the file listing: joins then know how small or large the history is.
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
         return spark.read.table(name).drop("bucket")
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _write(self, history: DataFrame) -> str:
+        """Store versions as a new run, cut by bucket, and return its name."""
+        run = uuid.uuid4().hex
+        # Rebalancing gathers a bucket into few files, and still splits a hot one.
+        laid_out = history.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
+        laid_out = laid_out.sortWithinPartitions("bucket", *self.keys, self.sequence_by)
+        laid_out.write.partitionBy("bucket").parquet(f"{self.root}/data/run={run}")
+        return run
+
+    def _publish_head(self, spark: SparkSession, version: int, runs: dict[int, str]) -> None:
+        rows = spark.createDataFrame([(b, r, self.buckets) for b, r in runs.items()], "bucket int, run string, buckets int")
+        # A version without its file does not exist for readers; one file makes it atomic.
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/heads/version={version}")
+
+    def _rebucketed(self, spark: SparkSession, changes: T.StructType) -> tuple[int, dict[int, str]]:
+        """The head, after cutting the history anew if its number of buckets is another."""
+        version, runs, buckets = self.head(spark)
+        if not runs or buckets == self.buckets:
+            return version, runs
+        whole = self._read(spark, changes, runs)
+        run = self._write(whole)
+        used = whole.select(self._bucket().alias("bucket")).distinct().collect()  # at most `buckets` values
+        runs = {r.bucket: run for r in used}
+        self._publish_head(spark, version + 1, runs)
+        return version + 1, runs
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Fold one micro-batch into the history.
 
@@ -94,28 +131,20 @@ class HistoryTarget:
         so late, replayed and tied rows give what a rebuild over all rows so far would give.
         """
         spark, changes = batch.sparkSession, batch.schema
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         new = applicable(batch, self.keys, self.sequence_by).persist()
         try:
-            touched = {r[0] for r in new.select(bucket).distinct().collect()}  # at most `buckets` values
+            touched = {r[0] for r in new.select(self._bucket()).distinct().collect()}  # at most `buckets` values
             if not touched:
                 return
-            version, runs = self.head(spark)
+            version, runs = self._rebucketed(spark, changes)
             old = self._read(spark, changes, {b: run for b, run in runs.items() if b in touched})
             merged = apply_scd2(
                 old.select(*changes.names).unionByName(new), self.keys, self.sequence_by, self.tie_break
             )
             if self.surrogate:
                 merged = with_hashed_key(merged, self.keys, self.surrogate)
-            run = uuid.uuid4().hex
-            # Rebalancing gathers a bucket into few files, and still splits a hot one.
-            laid_out = merged.withColumn("bucket", bucket).hint("rebalance", "bucket")
-            laid_out = laid_out.sortWithinPartitions("bucket", *self.keys, self.sequence_by)
-            laid_out.write.partitionBy("bucket").parquet(f"{self.root}/data/run={run}")
-            published = {**runs, **dict.fromkeys(touched, run)}
-            rows = spark.createDataFrame(list(published.items()), "bucket int, run string")
-            # A version without its file does not exist for readers; one file makes it atomic.
-            rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/heads/version={version + 1}")
+            run = self._write(merged)
+            self._publish_head(spark, version + 1, {**runs, **dict.fromkeys(touched, run)})
         finally:
             new.unpersist()
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import threading
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from plantlake.operators.layout import describe_table, spread_by_range
 
@@ -36,11 +37,60 @@ def append_to_table(
     return query
 
 
-def observed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sums of the metrics observed under ``name`` over the micro-batches of a finished query."""
+class _Observed(StreamingQueryListener):
+    """Keeps the observed metrics of every micro-batch; a query itself remembers its last ones only."""
+
+    def __init__(self, name: str):
+        self.name, self.batches, self.ended = name, {}, {}
+
+    def onQueryStarted(self, event) -> None:
+        self.ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        row = progress.observedMetrics.get(self.name)
+        if row is not None:
+            self.batches.setdefault(str(progress.runId), {})[progress.batchId] = row.asDict()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def of(self, query: StreamingQuery) -> dict[int, dict[str, int]]:
+        """Counts by micro-batch of a finished query, once all its events have arrived."""
+        run = str(query.runId)
+        if not self.ended.setdefault(run, threading.Event()).wait(60):
+            raise TimeoutError("the last progress of the query has not been reported")
+        return self.batches.get(run, {})
+
+
+def counted(spark: SparkSession, name: str, counts_path: str, start: Callable[[], StreamingQuery]) -> dict[str, int]:
+    """Run a draining query and return the sums of the metrics observed under ``name``.
+
+    The counts of each micro-batch are stored below ``counts_path`` under the number of the batch, so that
+    `rule_history` has all loads so far.
+    """
+    listener = _Observed(name)
+    spark.streams.addListener(listener)
+    try:
+        batches = listener.of(start())
+    finally:
+        spark.streams.removeListener(listener)
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress["observedMetrics"].get(name)
-        for metric, count in (row.asDict() if hasattr(row, "asDict") else row or {}).items():
+    rows = []
+    for batch, counts in batches.items():
+        for metric, count in counts.items():
             totals[metric] = totals.get(metric, 0) + count
+            rows.append((metric, count, batch))
+    if rows:
+        stored = spark.createDataFrame(rows, "rule string, passed long, batch long").coalesce(1)
+        # Only the partitions of these batches are replaced.
+        stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(counts_path)
     return totals
+
+
+def rule_history(spark: SparkSession, counts_path: str) -> DataFrame:
+    """rule, passed, batch of every micro-batch counted so far; the rule ``total`` counts the rows."""
+    return spark.read.schema("rule string, passed long, batch long").parquet(counts_path)

@@ -1,5 +1,6 @@
 import itertools
 import random
+from dataclasses import replace
 
 import pytest
 from conftest import at
@@ -118,9 +119,9 @@ def test_a_batch_that_failed_before_publishing_leaves_no_trace(spark, rows):
 
 def test_only_touched_buckets_are_rewritten(spark):
     target = streamed(spark, [changes(spark, *[(f"k{i}", T1, "x") for i in range(20)])])
-    _, before = target.head(spark)
+    _, before, _ = target.head(spark)
     target.upsert(changes(spark, ("k1", T2, "y")), 1)
-    version, after = target.head(spark)
+    version, after, _ = target.head(spark)
     assert version == 2
     assert sum(before[b] != after[b] for b in before) == 1
 
@@ -128,7 +129,7 @@ def test_only_touched_buckets_are_rewritten(spark):
 def test_nothing_to_apply(spark):
     empty = changes(spark, (None, T1, "x"))
     target = streamed(spark, [empty])
-    assert target.head(spark) == (0, {})
+    assert target.head(spark)[:2] == (0, {})
     assert target.read(spark, empty.schema).count() == 0
 
 
@@ -142,3 +143,27 @@ def test_published_table_follows_the_history(spark, rows):
     assert spark.table("pub.h").count() == 6
     statistics = spark.sql("DESCRIBE EXTENDED pub.h").filter("col_name = 'Statistics'").first()["data_type"]
     assert int(statistics.split()[0]) > 0
+
+
+def test_a_changed_number_of_buckets_loses_no_key(spark, rows):
+    first = changes(spark, *[(f"k{i}", T1, "x") for i in range(20)])
+    target = streamed(spark, [first])
+    for buckets, late in ((8, ("k3", T2, "y")), (8, ("k4", T2, "y")), (3, ("new", T1, "z"))):
+        target = replace(target, buckets=buckets)
+        target.upsert(changes(spark, late), 1)
+    got = rows(target.read(spark, first.schema), "id", "value", END)
+    late = [("k3", "y", None), ("k4", "y", None), ("new", "z", None)]
+    want = [(f"k{i}", "x", T2 if i in (3, 4) else None) for i in range(20)] + late
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert target.head(spark)[2] == 3 and all(b < 3 for b in target.head(spark)[1])
+
+
+def test_a_published_table_follows_a_changed_number_of_buckets(spark, rows):
+    first = changes(spark, *[(f"k{i}", T1, "x") for i in range(12)])
+    target = streamed(spark, [first])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pub2 LOCATION '{scratch_path(spark, 'pub2')}'")
+    target.publish(spark, "pub2.h", first.schema)
+    fewer = replace(target, buckets=2)
+    fewer.upsert(changes(spark, ("k1", T2, "y")), 1)
+    assert rows(fewer.publish(spark, "pub2.h", first.schema)) == rows(fewer.read(spark, first.schema))
+    assert spark.table("pub2.h").count() == 13

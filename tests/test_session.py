@@ -43,3 +43,12 @@ def test_config_from_settings(spark):
     cfg = PipelineConfig.from_conf(spark)
     assert [getattr(cfg, n) for n in names] == [f"x_{n}" for n in names]
     assert cfg.tables_base is None
+    assert (cfg.cluster_bronze, cfg.cluster_silver, cfg.max_files_per_trigger) == (False, True, None)
+    for name, value in (("cluster_bronze", "true"), ("cluster_silver", "false"), ("max_files_per_trigger", "3")):
+        spark.conf.set(f"plantlake.{name}", value)
+    try:
+        cfg = PipelineConfig.from_conf(spark)
+        assert (cfg.cluster_bronze, cfg.cluster_silver, cfg.max_files_per_trigger) == (True, False, 3)
+    finally:
+        for name in ("cluster_bronze", "cluster_silver", "max_files_per_trigger"):
+            spark.conf.unset(f"plantlake.{name}")

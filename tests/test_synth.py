@@ -1,174 +1,176 @@
+"""Properties of the generator: values depend on seed, dataset, field and row alone, and follow their distributions."""
+
 import datetime as dt
 import json
-import re
 from pathlib import Path
 
 import pytest
-
 from pyspark.sql import functions as F
 
 from plantlake.plans import synth
 from plantlake.plans.synth import DatasetSpec, FieldSpec, IdPool, TablePool, generate_dataset
 
-NOW = dt.datetime(2024, 1, 31, 12, 30, 15, 250000, tzinfo=dt.timezone.utc)
-
-
-def values(spark, field, n=100, **kw):
-    df = generate_dataset(spark, DatasetSpec("d", [field], n), now=NOW, **kw)
-    return [r[0] for r in df.collect()]
+NOW = dt.datetime(2031, 5, 4, 3, 2, 1, 7000, tzinfo=dt.timezone(dt.timedelta(hours=5)))
 
 
-def test_field_spec_defaults():
-    field = FieldSpec("age", "int", min_value=0, max_value=120)
-    assert (field.name, field.field_type, field.min_value, field.max_value) == ("age", "int", 0, 120)
-    assert (field.nullable, field.null_probability, field.reference_unique) == (False, 0.1, False)
-    assert DatasetSpec("d", []).num_records == 100
+def draw(spark, field, n=400, seed=9, name="set", **options):
+    spec = DatasetSpec(name, [FieldSpec("row", "int", generator=lambda d: d.row_id), field], n)
+    made = generate_dataset(spark, spec, seed, now=NOW, **options).collect()
+    return [r[1] for r in sorted(made, key=lambda r: r[0])]
 
 
-def test_int(spark):
-    got = values(spark, FieldSpec("x", "int", min_value=18, max_value=20))
-    assert set(got) == {18, 19, 20}
-    assert all(0 <= v <= 1000 for v in values(spark, FieldSpec("x", "int")))
+KINDS = [
+    FieldSpec("v", "int", min_value=-3, max_value=3),
+    FieldSpec("v", "float", min_value=-0.5, max_value=0.5),
+    FieldSpec("v", "string"),
+    FieldSpec("v", "bool"),
+    FieldSpec("v", "uuid"),
+    FieldSpec("v", "datetime"),
+    FieldSpec("v", "choice", choices=["n", "e", "s", "w"]),
+    FieldSpec("v", "faker", faker_method="city"),
+    FieldSpec("v", "reference", reference_pool=["q", "r", "t"]),
+]
 
 
-def test_float(spark):
-    got = values(spark, FieldSpec("x", "float", min_value=10.0, max_value=100.0))
-    assert all(10 <= v <= 100 and round(v, 2) == v for v in got)
-    assert len(set(got)) > 50
+@pytest.mark.parametrize("field", KINDS, ids=lambda f: f.field_type)
+def test_values_are_a_function_of_seed_dataset_and_row(spark, field):
+    rows = spark.range(300)
+    a = draw(spark, field, rows=rows.repartition(1))
+    assert a == draw(spark, field, rows=rows.repartition(6))
+    assert a[:50] == draw(spark, field, rows=rows.filter("id < 50"))
+    assert a != draw(spark, field, rows=rows, seed=10) and a != draw(spark, field, rows=rows, name="other")
 
 
-def test_string_and_bool(spark):
-    assert all(v in synth.WORDS for v in values(spark, FieldSpec("x", "string"), 10))
-    assert set(values(spark, FieldSpec("x", "bool"))) == {True, False}
+def test_each_member_of_a_range_is_about_equally_likely(spark):
+    counts = {}
+    for v in draw(spark, FieldSpec("v", "int", min_value=-3, max_value=3), 7000):
+        counts[v] = counts.get(v, 0) + 1
+    assert sorted(counts) == list(range(-3, 4)) and all(850 < c < 1150 for c in counts.values())
 
 
-def test_uuid(spark):
-    got = values(spark, FieldSpec("x", "uuid"), 1000)
-    assert len(set(got)) == 1000
-    assert all(re.fullmatch(r"[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}", v) for v in got)
+def test_ranges_beyond_32_bits_use_their_low_digits(spark):
+    got = draw(spark, FieldSpec("v", "int", min_value=0, max_value=2**45 - 1), 2000)
+    assert len({v % 64 for v in got}) == 64 and max(got) > 2**44
+    with pytest.raises(ValueError):
+        draw(spark, FieldSpec("v", "int", min_value=0, max_value=2**60))
 
 
-def test_datetime(spark):
-    got = values(spark, FieldSpec("x", "datetime", min_value="2025-01-01T00:00:00", max_value="2025-01-31T23:59:59"))
-    assert all(v.startswith("2025-01-") and dt.datetime.fromisoformat(v).tzinfo is None for v in got)
-    low = NOW - dt.timedelta(days=7)
-    got = values(spark, FieldSpec("x", "datetime", min_value=low.isoformat(), max_value=NOW.isoformat()))
-    assert all(v.endswith(".250000+00:00") and low <= dt.datetime.fromisoformat(v) <= NOW for v in got)
-    recent = {(NOW - dt.datetime.fromisoformat(v)).days for v in values(spark, FieldSpec("x", "datetime"), 500)}
-    assert recent == set(range(31))
+def test_instants_keep_zone_and_fraction_over_a_long_span(spark):
+    low, high = dt.datetime(1890, 2, 28, 23, 59, 58), dt.datetime(2120, 3, 1)
+    got = [dt.datetime.fromisoformat(v) for v in draw(spark, FieldSpec("v", "datetime", min_value=low.isoformat(), max_value=high.isoformat()))]
+    assert all(low <= v <= high and v.tzinfo is None for v in got)
+    assert min(got).year < 1905 and max(got).year > 2105
+    recent = {NOW - dt.datetime.fromisoformat(v) for v in draw(spark, FieldSpec("v", "datetime"), 900)}
+    assert recent == {dt.timedelta(days=k) for k in range(31)}
 
 
-def test_datetime_does_not_depend_on_the_session_zone(spark):
-    field = FieldSpec("x", "datetime", min_value="2024-03-31T00:00:00", max_value="2024-03-31T23:59:59")
-    utc = values(spark, field)
-    spark.conf.set("spark.sql.session.timeZone", "Europe/Vienna")
+def test_a_change_of_the_session_zone_changes_nothing(spark):
+    field = FieldSpec("v", "datetime", min_value="2030-10-27T00:00:00", max_value="2030-10-27T05:00:00")
+    before = draw(spark, field)
+    spark.conf.set("spark.sql.session.timeZone", "America/St_Johns")
     try:
-        assert values(spark, field) == utc
+        assert draw(spark, field) == before
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_choice(spark):
-    assert set(values(spark, FieldSpec("x", "choice", choices=["red", "green", "blue"]))) == {"red", "green", "blue"}
-    assert set(values(spark, FieldSpec("x", "choice", choices=[None, 1]))) == {None, 1}
+@pytest.mark.parametrize("size", [2, 999, 1000, 1001, 1700])
+def test_a_list_pool_is_drawn_by_position_whatever_its_length(spark, size):
+    drawn = draw(spark, FieldSpec("v", "reference", reference_pool=[f"z{size - i}" for i in range(size)]))
+    positions = draw(spark, FieldSpec("v", "int", min_value=0, max_value=size - 1))
+    assert drawn == [f"z{size - p}" for p in positions]
+
+
+def test_pools_with_null_members_and_of_tables_and_ids(spark):
+    assert set(draw(spark, FieldSpec("v", "reference", reference_pool=[None, 5]), 60)) == {None, 5}
+    evens = TablePool(spark.range(90).select((F.col("id") * 2).alias("k")).repartition(5), "k")
+    positions = draw(spark, FieldSpec("v", "int", min_value=0, max_value=89))
+    assert draw(spark, FieldSpec("v", "reference", reference_pool=evens)) == [2 * p for p in positions]
+    assert draw(spark, FieldSpec("v", "reference", reference_pool=IdPool("K", 90, 3))) == [f"K{p + 1:03d}" for p in positions]
 
 
-@pytest.mark.parametrize("limit", [1000, 1])
-def test_reference(spark, monkeypatch, limit):
-    monkeypatch.setattr(synth, "LITERAL_POOL", limit)
-    pool = ["ID-001", "ID-002", "ID-003"]
-    assert set(values(spark, FieldSpec("x", "reference", reference_pool=pool), 50)) == set(pool)
+def test_the_order_of_a_unique_reference_does_not_depend_on_how_the_pool_is_held(spark):
+    names = [f"U-{i:04d}" for i in range(1, 1301)]
 
+    def of(pool, n=1300):
+        return draw(spark, FieldSpec("v", "reference", reference_pool=pool, reference_unique=True), n)
 
-def test_reference_into_tables_and_computed_ids(spark):
-    table = spark.range(500).select((F.col("id") * 7).alias("k"))
-    got = values(spark, FieldSpec("x", "reference", reference_pool=TablePool(table, "k")), 3000)
-    assert len(got) == 3000 and None not in got
-    assert set(got) <= {i * 7 for i in range(500)} and len(set(got)) > 450
-    assert set(values(spark, FieldSpec("x", "reference", reference_pool=IdPool("M-", 3)))) == {"M-0001", "M-0002", "M-0003"}
+    by_list = of(names)
+    assert sorted(by_list) == names and by_list != names
+    assert by_list == of(IdPool("U-", 1300)) == of(TablePool(spark.createDataFrame([(n,) for n in names], ["n"]), "n"))
+    assert of(names, 40) == by_list[:40]
+    with_null = of([*names[:30], None], 31)
+    assert sorted(v for v in with_null if v) == names[:30] and with_null.count(None) == 1
 
 
-@pytest.mark.parametrize("pool", ["list", "long list", "ids", "table"])
-def test_unique_reference(spark, monkeypatch, pool):
-    names = [f"M-{i:04d}" for i in range(1, 21)]
-    if pool == "long list":
-        monkeypatch.setattr(synth, "LITERAL_POOL", 5)
-    chosen = {
-        "ids": IdPool("M-", 20),
-        "table": TablePool(spark.createDataFrame([(n,) for n in names], ["n"]), "n"),
-    }.get(pool, names)
-    got = values(spark, FieldSpec("x", "reference", reference_pool=chosen, reference_unique=True), 20)
-    assert sorted(got) == names and got != names
-    assert len(set(values(spark, FieldSpec("x", "reference", reference_pool=chosen, reference_unique=True), 7))) == 7
+def test_unique_references_refuse_rows_they_cannot_serve(spark):
+    field = FieldSpec("v", "reference", reference_pool=["a", "b", "c"], reference_unique=True)
+    for rows in (spark.range(4), spark.range(1, 4), spark.range(-1, 1)):
+        with pytest.raises(ValueError, match="unique values"):
+            draw(spark, field, rows=rows)
+    assert draw(spark, field, rows=spark.range(0)) == []
 
 
-@pytest.mark.parametrize(("method", "part"), [("email", "@"), ("company", " "), ("name", " "), ("address", " "), ("city", " ")])
-def test_text_providers(spark, method, part):
-    got = values(spark, FieldSpec("x", "faker", faker_method=method), 50)
-    assert all(part in v for v in got) and len(set(got)) > 10
+def test_a_unique_reference_comes_before_a_generator(spark):
+    field = FieldSpec("v", "reference", reference_pool=["a", "b"], reference_unique=True, generator=F.lit("g"))
+    assert sorted(draw(spark, field, 2)) == ["a", "b"]
+    field = FieldSpec("v", "reference", reference_pool=["a", "b"], generator=F.lit("g"))
+    assert draw(spark, field, 2) == ["g", "g"]
 
 
-def test_nullable(spark):
-    got = values(spark, FieldSpec("x", "int", nullable=True, null_probability=0.5))
-    assert 20 < sum(v is None for v in got) < 80
-    assert values(spark, FieldSpec("x", "int", nullable=True, null_probability=1.0), 5) == [None] * 5
-    pool = FieldSpec("x", "reference", reference_pool=TablePool(spark.range(3), "id"), nullable=True, null_probability=0.5)
-    assert set(values(spark, pool)) == {None, 0, 1, 2}
+@pytest.mark.parametrize("p", [0.0, 0.25, 1.0])
+def test_nulls_come_at_their_rate_and_leave_the_other_values_alone(spark, p):
+    plain = draw(spark, FieldSpec("v", "int"), 3000)
+    nulled = draw(spark, FieldSpec("v", "int", nullable=True, null_probability=p), 3000)
+    assert abs(nulled.count(None) / 3000 - p) < 0.03
+    assert all(b in (None, a) for a, b in zip(plain, nulled, strict=True))
+    assert draw(spark, FieldSpec("v", "int", nullable=True, null_probability=p, generator=F.lit(1)), 3000).count(None) == nulled.count(None)
 
 
-def test_custom_generator(spark):
-    assert values(spark, FieldSpec("x", "int", generator=F.lit(999)), 1) == [999]
-    assert values(spark, FieldSpec("x", "int", generator=lambda d: d.row_id * 2), 3) == [0, 2, 4]
-    nulled = values(spark, FieldSpec("x", "int", generator=F.lit(999), nullable=True, null_probability=0.5))
-    assert set(nulled) == {999, None}
+def test_uuids_are_distinct_and_of_version_four(spark):
+    got = draw(spark, FieldSpec("v", "uuid"), 2000)
+    assert len(set(got)) == 2000
+    assert {(len(v), v[8], v[13], v[14], v[18], v[23]) for v in got} == {(36, "-", "-", "4", "-", "-")} and {v[19] for v in got} == set("89ab")
+
+
+@pytest.mark.parametrize("method", sorted(synth.PROVIDERS))
+def test_providers_combine_their_vocabularies(spark, method):
+    got = draw(spark, FieldSpec("v", "faker", faker_method=method))
+    words = synth.WORDS + synth.COUNTRIES + synth.SURNAMES + synth.FIRST_NAMES + synth.CITY_STEMS + synth.STREETS
+    lower = [w.lower() for w in words]
+    assert all(any(w in v.lower() for w in lower) for v in got) and len(set(got)) >= 10
 
 
 @pytest.mark.parametrize(
     "field",
     [
-        FieldSpec("x", "colour"),
-        FieldSpec("x", "choice"),
-        FieldSpec("x", "reference"),
-        FieldSpec("x", "reference", reference_unique=True),
-        FieldSpec("x", "reference", reference_pool=["a"], reference_unique=True),
-        FieldSpec("x", "faker", faker_method="starship"),
-        FieldSpec("x", "faker"),
+        FieldSpec("v", "tensor"),
+        FieldSpec("v", "choice"),
+        FieldSpec("v", "faker", faker_method="starship"),
+        FieldSpec("v", "reference", generator=None),
+        FieldSpec("v", "reference", reference_unique=True),
     ],
+    ids=lambda f: f"{f.field_type}-{f.reference_unique}",
 )
-def test_bad_specs(spark, field):
-    with pytest.raises(ValueError):
-        generate_dataset(spark, DatasetSpec("d", [field], 2))
-
-
-def test_dataset_has_all_rows_and_fields(spark):
-    spec = DatasetSpec("d", [FieldSpec("id", "int", min_value=1, max_value=100), FieldSpec("name", "string"), FieldSpec("is_active", "bool")], 10)
-    df = generate_dataset(spark, spec)
-    assert df.columns == ["id", "name", "is_active"]
-    assert df.count() == 10
-
+def test_specs_that_cannot_be_generated(spark, field):
+    with pytest.raises(ValueError, match="field 'v'"):
+        generate_dataset(spark, DatasetSpec("set", [field], 1))
 
-def test_save(spark, tmp_path):
-    spec = DatasetSpec("t", [FieldSpec("id", "int"), FieldSpec("value", "float", nullable=True, null_probability=1.0)], 5)
-    paths = synth.generate_and_save(spark, [spec], str(tmp_path))
-    lines = [json.loads(line) for f in Path(paths["t"]).glob("*.json") for line in f.read_text().splitlines()]
-    assert len(lines) == 5 and all(set(line) == {"id", "value"} for line in lines)
 
+def test_a_second_delivery_is_added_to_the_first(spark, tmp_path):
+    spec = DatasetSpec("feed", [FieldSpec("n", "int"), FieldSpec("gone", "float", nullable=True, null_probability=1.0)], 6)
+    for seed in (1, 2):
+        place = synth.generate_and_save(spark, [spec], str(tmp_path), seed)["feed"]
+    lines = [json.loads(x) for f in Path(place).glob("*.json") for x in f.read_text().splitlines()]
+    assert len(lines) == 12 and all(x["gone"] is None and set(x) == {"n", "gone"} for x in lines)
 
-def test_machine_specs(spark, rows):
-    specs = synth.machine_specs(5, 50, NOW)
-    assert [(s.name, s.num_records) for s in specs] == [("machine_metadata", 5), ("sensor_data", 50)]
-    machines, readings = (generate_dataset(spark, s, now=NOW) for s in specs)
-    assert machines.columns == ["machine_id", "machine_name", "location", "machine_type", "manufacturer", "installation_date", "timestamp", "status", "max_temperature", "max_pressure"]
-    assert readings.columns == ["reading_id", "machine_id", "timestamp", "temperature", "pressure", "vibration", "power_consumption", "error_code", "is_anomaly"]
-    ids = {r[0] for r in machines.select("machine_id").collect()}
-    assert ids == {f"MACH-{i:04d}" for i in range(1, 6)}
-    assert {r[0] for r in readings.select("machine_id").collect()} <= ids
-    again = generate_dataset(spark, synth.machine_specs(5, 50, NOW)[1], now=NOW).repartition(3)
-    assert rows(again) == rows(readings)
-    assert rows(generate_dataset(spark, specs[1], seed=7, now=NOW)) != rows(readings)
 
+def test_readings_refer_to_machines_and_both_feeds_have_their_landing_columns(spark):
+    from plantlake.config import MACHINE_METADATA, SENSOR_DATA
 
-def test_error_code_null_share(spark):
-    readings = generate_dataset(spark, synth.machine_specs(5, 20000, NOW)[1], now=NOW)
+    machines, readings = (generate_dataset(spark, s, seed=3, now=NOW) for s in synth.machine_specs(30, 3000, NOW))
+    assert machines.columns == MACHINE_METADATA.schema.names and readings.columns == SENSOR_DATA.schema.names
+    assert machines.select("machine_id").distinct().count() == 30
+    assert readings.join(machines, "machine_id", "left_anti").count() == 0
     share = readings.agg(F.avg(F.col("error_code").isNull().cast("int"))).first()[0]
-    assert abs(share - (0.8 + 0.2 / 6)) < 0.01
+    assert abs(share - (0.8 + 0.2 / 6)) < 0.03
