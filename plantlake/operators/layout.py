@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread_by_range(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+def spread_by_range(
+    df: DataFrame, columns: Sequence[str], files: int | None = None, row_id: Sequence[str] = ()
+) -> DataFrame:
     """Range-partition by ``columns`` so that each output file covers a narrow range.
 
     A hash of the row is the last range key: rows that agree on all clustering columns, such
-    as one machine within one load, can still be cut into several partitions.
+    as one machine within one load, can still be cut into several partitions. The bounds are
+    sampled by a run of their own, which reads the columns of the hash: ``row_id`` alone, if given.
     """
-    ties = F.xxhash64(*[c for c in df.columns if c not in columns] or columns)
+    ties = F.xxhash64(*(row_id or [c for c in df.columns if c not in columns] or columns))
     ranges = [*[F.col(c) for c in columns], ties]
     return df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
 
@@ -40,6 +44,11 @@ def describe_table(spark, name: str, comment: str = "", properties: Mapping[str,
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
+def _location(spark: SparkSession, database: str) -> str:
+    rows = spark.sql(f"DESCRIBE DATABASE {database}").filter("info_name = 'Location'")
+    return rows.first()["info_value"].rstrip("/")
+
+
 def materialize(
     df: DataFrame,
     name: str,
@@ -47,9 +56,35 @@ def materialize(
     comment: str = "",
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Full refresh of a stored table; returns a read of it."""
+    """Full refresh of a stored table; returns a read of it.
+
+    The rows go to a folder of their own, and then the table's location moves there. A refresh that fails
+    leaves the table as it was; readers that began before it still find their files.
+    """
     spark = df.sparkSession
+    database, _, table = name.rpartition(".")
+    place = f"{_location(spark, database or spark.catalog.currentDatabase())}/{table}.runs/{uuid.uuid4().hex}"
     laid_out = cluster_rows(df, cluster_by) if cluster_by else df
-    laid_out.write.mode("overwrite").saveAsTable(name)
+    laid_out.write.parquet(place)
+    if spark.catalog.tableExists(name) and spark.table(name).dtypes == df.dtypes:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        columns = []
+        for field in df.schema:
+            text = field.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
+            columns.append(f"`{field.name}` {field.dataType.simpleString()}" + (f" COMMENT '{text}'" if text else ""))
+        spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet LOCATION '{place}'")
     describe_table(spark, name, comment, properties)
     return spark.read.table(name)
+
+
+def create_view(spark: SparkSession, name: str, query: str, comments: Mapping[str, str], comment: str = "") -> DataFrame:
+    """A persistent view with column comments; returns a read of it."""
+    columns = []
+    for column in spark.sql(query).columns:
+        text = comments.get(column, "").replace("'", "\\'")
+        columns.append(f"`{column}`" + (f" COMMENT '{text}'" if text else ""))
+    spark.sql(f"CREATE OR REPLACE VIEW {name} ({', '.join(columns)}) COMMENT '{comment}' AS {query}")
+    return spark.read.table(name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plantlake.plans import silver, synth
+from plantlake.plans import contracts, silver, synth
 from plantlake.queries import ALERT_AS_OF, DAILY_AS_OF, SYNTH_NOW
 
 # --- shared pieces ----------------------------------------------------------------------
@@ -157,6 +157,23 @@ FROM facts f LEFT JOIN stored m ON f.machine_id = m.machine_id AND f.machine_tim
   AND (m.__END_AT IS NULL OR f.machine_timestamp < m.__END_AT)"""
 )
 
+def _contracts() -> str:
+    parts = []
+    source = {"dim_machine_h": "stored", "dim_machine_a": "(SELECT * FROM stored WHERE __END_AT IS NULL)", "dim_machine_daily": "daily", "fact_sensor_agg": "agg"}
+    for table, keys in contracts.PRIMARY_KEYS.items():
+        names, nulls = ", ".join(keys), " OR ".join(f"{k} IS NULL" for k in keys)
+        grouped = f"SELECT {names} FROM {source[table]} GROUP BY {names} HAVING count(*) > 1 OR {nulls}"
+        parts.append(f"SELECT '{table}' AS table_name, 'primary key ({names})' AS promise, count(*) AS violations FROM ({grouped})")
+    for table, columns in contracts.NOT_NULL.items():
+        parts += [f"SELECT '{table}', '{c} not null', count(*) FILTER (WHERE {c} IS NULL) FROM {source[table]}" for c in columns]
+    for child, parent, keys in contracts.FOREIGN_KEYS:
+        names, same = ", ".join(keys), " AND ".join(f"c.{k} = p.{k}" for k in keys)
+        kept = " AND ".join(f"c.{k} IS NOT NULL" for k in keys)
+        orphans = f"SELECT DISTINCT {', '.join(f'c.{k}' for k in keys)} FROM {source[child]} c WHERE {kept} AND NOT EXISTS (SELECT 1 FROM {source[parent]} p WHERE {same})"
+        parts.append(f"SELECT '{child}', 'reference ({names}) to {parent}', count(*) FROM ({orphans})")
+    return _all(" UNION ALL ".join(parts))
+
+
 _RELATIONAL = {
     "silver_fact_sensor": _facts("SELECT * FROM facts"),
     "dq_rule_metrics": _with(_rules(), "B", "SENSOR", "MACHINE", "FLAGGED", "CHANGES"),
@@ -195,6 +212,7 @@ _RELATIONAL = {
         " ON d.machine_id = a.machine_id AND d.machine_date = a.machine_date WHERE d.machine_id IS NULL"
     ),
     "check_not_null": _all(_NOT_NULL),
+    "check_contracts": _contracts(),
 }
 
 # --- files and streams ------------------------------------------------------------------

@@ -10,8 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.config import MACHINE_METADATA, SENSOR_DATA, IngestSpec, PipelineConfig
 from plantlake.functions.columns import drop_technical_columns
-from plantlake.operators.layout import describe_table, materialize, spread_by_range, with_comments
+from plantlake.operators.layout import create_view, describe_table, materialize, spread_by_range, with_comments
 from plantlake.plans import alerts, gold, silver
+from plantlake.plans.contracts import contract_report
 from plantlake.sources.landing import ingest_json
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
 from plantlake.streaming.sinks import append_to_table, counted
@@ -65,7 +66,7 @@ def load_fact_sensor(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery
     """
     bronze = drop_technical_columns(_stream(spark, cfg, SENSOR_DATA.table_name))
     if cfg.cluster_silver:
-        bronze = spread_by_range(bronze, ["machine_id", "timestamp"])
+        bronze = spread_by_range(bronze, ["machine_id", "timestamp"], row_id=["reading_id"])
     return append_to_table(
         silver.fact_sensor(bronze, observe="dq"),
         f"{cfg.silver_schema}.fact_sensor",
@@ -103,12 +104,29 @@ def load_dim_machine_h(spark: SparkSession, cfg: PipelineConfig, buckets: int =
     return history
 
 
+def gold_views(cfg: PipelineConfig) -> dict[str, str]:
+    """The two gold views as SQL over silver, for any session that shares the catalog."""
+    history, facts = f"{cfg.silver_schema}.dim_machine_h", f"{cfg.silver_schema}.fact_sensor"
+    attributes, measures = ", ".join(gold.ATTRIBUTES), ", ".join(f"f.{m}" for m in gold.MEASURES)
+    return {
+        "dim_machine_h": f"SELECT machine_sk, machine_id, {attributes}, machine_timestamp, __START_AT AS valid_from_ts,"
+        f" __END_AT AS valid_to_ts, __END_AT IS NULL AS is_current FROM {history}",
+        "fact_sensor": "SELECT f.reading_id, f.machine_id, m.machine_sk, f.machine_timestamp,"
+        " CAST(f.machine_timestamp AS DATE) AS machine_date, hour(f.machine_timestamp) AS reading_hour,"
+        f" dayofweek(f.machine_timestamp) AS reading_day_of_week, {measures}, f.error_code, f.is_anomaly,"
+        f" f.is_high_temperature, f.is_high_pressure, f.is_high_vibration FROM {facts} f LEFT JOIN {history} m"
+        " ON f.machine_id = m.machine_id AND f.machine_timestamp >= m.__START_AT"
+        " AND (m.__END_AT IS NULL OR f.machine_timestamp < m.__END_AT)",
+    }
+
+
 def build_gold(spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None) -> dict[str, DataFrame]:
     """Refresh the gold tables and views from silver; name -> DataFrame."""
     g = cfg.gold_schema
     facts = spark.read.table(f"{cfg.silver_schema}.fact_sensor")
     history = spark.read.table(f"{cfg.silver_schema}.dim_machine_h").drop("bucket")
-    tables = {"dim_machine_h": with_comments(gold.dim_machine_h(history), COMMENTS)}
+    views = gold_views(cfg)
+    tables = {"dim_machine_h": create_view(spark, f"{g}.dim_machine_h", views["dim_machine_h"], COMMENTS, "All machine versions")}
     tables["dim_machine_a"] = materialize(
         with_comments(gold.dim_machine_a(history), COMMENTS),
         f"{g}.dim_machine_a",
@@ -122,7 +140,9 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None)
         comment="Machine attributes in force at the end of each day",
         properties={"quality": "gold"},
     )
-    tables["fact_sensor"] = with_comments(gold.fact_sensor(facts, history), COMMENTS)
+    tables["fact_sensor"] = create_view(
+        spark, f"{g}.fact_sensor", views["fact_sensor"], COMMENTS, "Readings with the machine version valid at their instant"
+    )
     tables["fact_sensor_agg"] = materialize(
         with_comments(gold.fact_sensor_agg(facts, tables["dim_machine_daily"]), COMMENTS),
         f"{g}.fact_sensor_agg",
@@ -130,8 +150,6 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None)
         "Daily measures per machine",
         {"quality": "gold"},
     )
-    for view in ("dim_machine_h", "fact_sensor"):
-        tables[view].createOrReplaceTempView(f"{g}_{view}")
     return tables
 
 
@@ -140,6 +158,7 @@ class LoadResult:
     tables: dict[str, DataFrame]
     alert: DataFrame
     rule_counts: dict[str, int]
+    contract: DataFrame
 
 
 def run_full_load(
@@ -162,4 +181,5 @@ def run_full_load(
         machines.result()
         counts = sensors.result()
     tables = build_gold(spark, cfg, as_of)
-    return LoadResult(tables, alerts.alert_anomaly_rate(tables["fact_sensor_agg"], as_of), counts)
+    alert = alerts.alert_anomaly_rate(tables["fact_sensor_agg"], as_of)
+    return LoadResult(tables, alert, counts, contract_report(tables))

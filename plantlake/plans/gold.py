@@ -66,8 +66,9 @@ def dim_machine_h(history: DataFrame) -> DataFrame:
 
 
 def dim_machine_a(history: DataFrame) -> DataFrame:
-    """Current version of each machine."""
-    return history.filter(F.col(END).isNull()).drop(END)
+    """Current version of each machine, in the declared order of columns."""
+    current = history.filter(F.col(END).isNull()).drop(END)
+    return current.select("machine_sk", "machine_id", *ATTRIBUTES, "machine_timestamp", START)
 
 
 def dim_machine_daily(

@@ -29,6 +29,11 @@ MACHINE_RULES = {
 
 MACHINE_KEYS = ["machine_id"]
 MACHINE_SEQUENCE = "machine_timestamp"
+# The declared order of the history's columns.
+HISTORY_COLUMNS = (
+    "machine_sk machine_id machine_name machine_location machine_type manufacturer installation_date machine_status"
+    " max_temperature max_pressure machine_timestamp __START_AT __END_AT"
+).split()
 
 
 def sensor_columns(bronze: DataFrame) -> DataFrame:
@@ -56,6 +61,6 @@ def machine_changes(bronze: DataFrame) -> DataFrame:
 
 
 def dim_machine_h(bronze: DataFrame) -> DataFrame:
-    """Machine history rebuilt from the whole change feed."""
+    """Machine history rebuilt from the whole change feed, in the declared order of columns."""
     history = apply_scd2(machine_changes(bronze), MACHINE_KEYS, MACHINE_SEQUENCE)
-    return with_hashed_key(history, MACHINE_KEYS, "machine_sk")
+    return with_hashed_key(history, MACHINE_KEYS, "machine_sk").select(*HISTORY_COLUMNS)

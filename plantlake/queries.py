@@ -14,7 +14,7 @@ from plantlake.config import MACHINE_METADATA, SENSOR_DATA, PipelineConfig
 from plantlake.functions.columns import drop_technical_columns
 from plantlake.operators import quality, scd2
 from plantlake.operators.layout import cluster_rows, materialize
-from plantlake.plans import alerts, full_load, gold, silver, synth
+from plantlake.plans import alerts, contracts, full_load, gold, silver, synth
 from plantlake.session import configure, scratch_path, write_through
 from plantlake.sources.feeds import machine_feed, order_feed, sensor_feed
 from plantlake.sources.files import JSON_TIMESTAMP, read_table_file, write_json_lines
@@ -229,6 +229,16 @@ def check_not_null(spark, sf_dir):
     return quality.null_counts(fact_sensor_agg(spark, sf_dir), columns)
 
 
+@query
+def check_contracts(spark, sf_dir):
+    """All declared keys, references and NOT NULL columns of the four keyed tables."""
+    history = write_through(_stored_history(spark, sf_dir), "dim_machine_h")
+    daily = write_through(gold.dim_machine_daily(history, DAILY_AS_OF), "dim_machine_daily")
+    agg = write_through(gold.fact_sensor_agg(_facts(spark, sf_dir), daily), "fact_sensor_agg")
+    tables = {"dim_machine_h": history, "dim_machine_a": gold.dim_machine_a(history), "dim_machine_daily": daily}
+    return contracts.contract_report(tables | {"fact_sensor_agg": agg})
+
+
 # --- files and streams ------------------------------------------------------------------
 
 

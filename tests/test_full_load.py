@@ -60,7 +60,14 @@ def test_two_loads_equal_one_batch_over_everything(spark, rows):
 
     stored = spark.sql(f"DESCRIBE {cfg.gold_schema}.fact_sensor_agg").filter("col_name = 'machine_sk'").first()
     assert stored["comment"]
-    assert spark.table(f"{cfg.gold_schema}_dim_machine_h").schema["is_current"].metadata["comment"]
+    other = spark.newSession()
+    assert other.table(f"{cfg.gold_schema}.dim_machine_h").schema["is_current"].metadata["comment"]
+    assert rows(other.table(f"{cfg.gold_schema}.fact_sensor")) == rows(second.tables["fact_sensor"])
+    broken = {(r["table_name"], r["promise"]): r["violations"] for r in second.contract.collect()}
+    assert len(broken) == 13 and all(n == 0 for (_, promise), n in broken.items() if not promise.startswith("reference"))
+    declared = spark.table(f"{cfg.silver_schema}.dim_machine_h").drop("bucket")
+    assert second.tables["dim_machine_a"].columns == [c for c in silver.HISTORY_COLUMNS if c != "__END_AT"]
+    assert set(declared.columns) == set(silver.HISTORY_COLUMNS)
 
     third = run_full_load(spark, cfg, AS_OF, buckets=4)  # nothing new arrived
     assert near(rows(third.tables["fact_sensor_agg"]), rows(agg))
