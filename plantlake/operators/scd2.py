@@ -56,15 +56,16 @@ def apply_scd2(
 def hashed_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """A 64-bit surrogate key computed from the version's identity.
 
-    The first 16 hex digits of an md5, read as a signed integer: it survives replays,
-    late rows and rebuilds, needs no coordination, and any other engine can recompute it.
-    `primary_key_violations` reports a collision.
+    The first 16 hex digits of an md5 over the parts, each led by its length, read as a signed
+    integer: it survives replays, late rows and rebuilds, needs no coordination, and any other
+    engine can recompute it. `primary_key_violations` reports a collision.
     """
     parts = [
         F.unix_micros(c) if isinstance(df.schema[c].dataType, T.TimestampType) else F.col(c).cast("string")
         for c in columns
     ]
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    texts = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
+    digest = F.md5(F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]))
     return F.conv(F.substring(digest, 1, 16), 16, -10).cast("bigint")
 
 

@@ -58,7 +58,7 @@ def _signed(hex_digits: str) -> str:
 
 
 HISTORY = f"""history AS (
-SELECT {_signed("substr(md5(machine_id || '|' || epoch_us(__START_AT)), 1, 16)")} AS machine_sk, * FROM versions)"""
+SELECT {_signed("substr(md5(length(CAST(machine_id AS VARCHAR)) || ':' || machine_id || length(CAST(epoch_us(__START_AT) AS VARCHAR)) || ':' || epoch_us(__START_AT)), 1, 16)")} AS machine_sk, * FROM versions)"""
 
 STORED = """stored AS (
 SELECT row_number() OVER (ORDER BY machine_id, __START_AT) AS machine_sk, * FROM versions)"""
