@@ -1,6 +1,7 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from plantlake.queries import all_queries
 from verify_queries import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -11,7 +12,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_its_sql(spark, duck, name):
     assert name in oracle_sql()
     verdict = compare(spark, duck, name, SF)
