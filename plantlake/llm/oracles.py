@@ -2,7 +2,40 @@
 
 from __future__ import annotations
 
-_ORACLES: dict[str, str] = {}
+#: Smallest id that each id reaches over ``links`` (a, b in both directions).
+_REACH = """reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)"""
+
+_NGRAM_JOIN = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE c.n * 5 >= 4 * (p.n + q.n - c.n)),
+{_REACH}
+SELECT d.doc_id, (SELECT count(*) FROM links WHERE a = d.doc_id) AS n_links,
+  least(d.doc_id, coalesce((SELECT min(b) FROM reach WHERE a = d.doc_id), d.doc_id)) AS component_id
+FROM documents d"""
+
+_EMBEDDINGS = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+lengths AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM vectors WHERE list_dot_product(e, e) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM lengths x JOIN lengths y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.98),
+{_REACH},
+result AS (
+  SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.vec_id) AS n_links,
+    least(v.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = v.vec_id), v.vec_id)) AS component_id FROM embeddings v)
+SELECT *, vec_id = component_id AS kept FROM result"""
+
+_ORACLES = {"op5_ngram_join": _NGRAM_JOIN, "op10_embedding_near_duplicates": _EMBEDDINGS}
 
 
 def llm_oracles() -> dict[str, str]:
