@@ -44,10 +44,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     gone = stored(groups.filter("doc_id <> component_id").select("doc_id", "mark").distinct(), "pipeline-copies")
     same = groups.filter("doc_id = component_id and n_links > 0").groupBy("doc_id", "mark").count().filter("count > 1")
     same = stored(same.select("doc_id", "mark"), "pipeline-repeated")
-    kept = docs.withColumn("mark", F.xxhash64("text")).join(gone, ["doc_id", "mark"], "left_anti")
+    # One join form at every size: what goes grows with the input, so it is not broadcast.
+    kept = docs.withColumn("mark", F.xxhash64("text")).join(gone.hint("merge"), ["doc_id", "mark"], "left_anti")
     if not same.isEmpty():
-        once = kept.join(same, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
-        kept = kept.join(same, ["doc_id", "mark"], "left_anti").unionByName(once)
+        once = kept.join(same.hint("merge"), ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+        kept = kept.join(same.hint("merge"), ["doc_id", "mark"], "left_anti").unionByName(once)
     return kept.select(*docs.columns)
 
 

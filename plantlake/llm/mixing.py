@@ -177,7 +177,8 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
     own_id, own_source = place[id_col], place[source_col]
     wide = wide.withColumn("unit", F.xxhash64(own_id, own_source, "c"))
     same = F.col("c") == F.col("size"), F.col(own_id).eqNullSafe(F.col("id")), F.col(own_source).eqNullSafe(F.col("source"))
-    met = wide.join(plan, "unit").filter(same[0] & same[1] & same[2])
+    # One join form at every size: the plan grows with the input, and the window below keeps the join's partitioning.
+    met = wide.join(plan.hint("merge"), "unit").filter(same[0] & same[1] & same[2])
     # Rows of one unit take its copies in turn. The rows share all that counts, so their order doesn't matter.
     turn = F.row_number().over(Window.partitionBy("unit", own_id, own_source, "c").orderBy(F.xxhash64(place[text_col])))
     own = F.floor(F.col("total") / F.col("m")) + F.when(F.col("turn") <= F.col("total") % F.col("m"), 1).otherwise(0)
