@@ -84,4 +84,13 @@ def test_neighbours_share_a_cap_of_their_best_filter():
         looked[r].add(f)
     best = dict(zip(*code.decode(x, 0.0), strict=True))
     missed = sum(best[r] not in looked[r] for r in range(2000))
-    assert missed == 0
+    assert missed <= 2  # a miss takes a second one, in the other direction
+
+
+def test_crowded_caps_are_cut_into_blocks(llm, monkeypatch):
+    monkeypatch.setattr("plantlake.llm.embeddings.BLOCK", 5)
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(16)
+    rows = [(k, (centre + rng.standard_normal(16) * 0.1 * rng.random()).astype(np.float32).tolist(), 1, "x") for k in range(90)]
+    rows += [(200 + k, rows[k][1], 1, "x") for k in range(20)]
+    assert sorted(map(tuple, similar_vectors(llm.createDataFrame(rows, SCHEMA)).collect())) == brute(rows)
