@@ -31,15 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantlake.llm.common import mixed, slices, stored
+from plantlake.llm.ngram_join import grouped
 
 LENGTH, GRAM = 100, 50
 WINDOW = LENGTH - GRAM + 1
 #: Texts of an anchor above which its windows travel one by one, in one task and over all tasks.
 CROWD, CROWD_ALL = 64, 512
 #: Runs that a task gathers before it combines them; bounds memory.
-GATHERED = 1_500_000
-#: Destinations for each partition.
-SPREAD = 4
+GATHERED = 600_000
+#: Destinations for each partition; a task takes one after the other.
+SPREAD = 16
 LAST_ID = (1 << 63) - 1
 
 COVERED, ASK, ASK_CROWDED = 0, 1, 2
@@ -160,9 +161,10 @@ def _judged_anchors(spread: int, crowd_all: int):
     """Runs of one anchor: later equal ones are covered, others are asked about if the anchor has several texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _unpack([b for b in batches if b.num_rows], _NAMES)
-        if not len(c["hash"]):
-            return
+        for unit in grouped(batches, 2):
+            yield from judged(_unpack(unit.to_batches(), _NAMES))
+
+    def judged(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((c["start"], c["cls"], c["id"], c["text"], c["kind"], c["hash"]))
         c = {k: v[order] for k, v in c.items()}
         new_hash = np.concatenate(([True], c["hash"][1:] != c["hash"][:-1]))
@@ -191,18 +193,18 @@ def suffix_order(s: np.ndarray, length: int, covers: int = 1) -> np.ndarray:
     n = len(s)
     if n < 4:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), dtype=np.int64)
-    padded = np.concatenate((s.astype(np.int64) + 1, np.zeros(3, dtype=np.int64)))
+    padded = np.concatenate((s.astype(np.int32) + np.int32(1), np.zeros(3, dtype=np.int32)))
     # Position n joins the sample if n % 3 == 1, so that every suffix of the first third ends before a separator of names.
     sample = np.concatenate((np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)))
     order = np.lexsort((padded[np.minimum(sample + 2, n + 2)], padded[sample + 1], padded[sample]))
     triple = np.stack([padded[sample], padded[sample + 1], padded[np.minimum(sample + 2, n + 2)]])[:, order]
     fresh = np.concatenate(([True], (triple[:, 1:] != triple[:, :-1]).any(axis=0)))
-    names = np.empty(len(sample), dtype=np.int64)
+    names = np.empty(len(sample), dtype=np.int32)
     names[order] = np.cumsum(fresh)
     if not fresh.all() and covers * 3 < length:
         order = suffix_order(names, length, covers * 3)
         # Suffixes of the names that agree for the whole length keep different ranks, in any order.
-    rank = np.zeros(n + 3, dtype=np.int64)
+    rank = np.zeros(n + 3, dtype=np.int32)
     rank[sample[order]] = np.arange(1, len(sample) + 1) if fresh.all() or covers * 3 < length else np.cumsum(fresh)
     sampled = sample[order]
     sampled = sampled[sampled < n]
@@ -242,9 +244,9 @@ def repeated_windows(data: np.ndarray, begin: np.ndarray, count: np.ndarray, ear
     own = np.repeat(np.arange(len(begin)), size + 1)
     ends = np.cumsum(size + 1)
     within = np.arange(int(ends[-1])) - np.repeat(ends - size - 1, size + 1)
-    text = np.zeros(int(ends[-1]), dtype=np.int64)  # a zero closes each slice
+    text = np.zeros(int(ends[-1]), dtype=np.int32)  # a zero closes each slice
     inside = within < size[own]
-    text[inside] = data[begin[own[inside]] + within[inside]].astype(np.int64) + 1
+    text[inside] = data[begin[own[inside]] + within[inside]].astype(np.int32) + 1
     window = within < count[own]
     order = suffix_order(text, LENGTH)
     order = order[window[order]]
@@ -266,10 +268,11 @@ def repeated_windows(data: np.ndarray, begin: np.ndarray, count: np.ndarray, ear
 
 def _sorted_units(spread: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
+        for unit in grouped(batches, 2):
+            yield from compared(unit.to_batches())
+
+    def compared(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _unpack(rows, ["id", "cls", "start", "count"])
-        if not len(c["id"]):
-            return
         data = np.frombuffer(b"".join(b for r in rows for b in r.column(r.schema.get_field_index("slices")).to_pylist()), dtype=np.uint8)
         count = c["count"].astype(np.int64)
         size = count + LENGTH - 1
@@ -413,7 +416,7 @@ def _asking(spread: int):
                         if seen is not None:
                             late.append(max(here, seen))
             yield _texts_batch(out)
-            if len(windows) > 200_000 or size > 32 << 20:
+            if len(windows) > 100_000 or size > 16 << 20:
                 yield from self_send(windows, late, asked, pieces)
                 asked, pieces, size, windows, late = [], [], 0, {}, []
         yield from self_send(windows, late, asked, pieces)
@@ -457,7 +460,10 @@ def without_repeats(
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("text_cls"), text.alias("body"))
     first = stored(rows.mapInArrow(_anchor_rows(spread, crowd), PACKED), "repeats-anchors")
-    judged = first.filter("stage = 1").repartition(partitions, "key").mapInArrow(_judged_anchors(spread, crowd_all), PACKED)
+    def by_key(rows: DataFrame) -> DataFrame:
+        return rows.select(*PACKED.names).repartition(partitions, "key").sortWithinPartitions("key")
+
+    judged = by_key(first.filter("stage = 1")).mapInArrow(_judged_anchors(spread, crowd_all), PACKED)
     flags = stored(first.filter("stage = 2").unionByName(judged), "repeats-flags")
 
     def meeting(told: DataFrame, texts: DataFrame) -> DataFrame:
@@ -471,7 +477,7 @@ def without_repeats(
     homes = rows.mapInArrow(_with_home(spread), "key int, doc long, text_cls long, body string")
     texts = homes.select(F.lit(4).alias("stage"), "key", *packed_nulls, "doc", "text_cls", "body", *result_nulls)
     asked = stored(meeting(flags, texts).mapInArrow(_asking(spread), TEXTS), "repeats-asked")
-    units = asked.filter("stage = 3").select(*PACKED.names).repartition(partitions, "key").mapInArrow(_sorted_units(spread), PACKED)
+    units = by_key(asked.filter("stage = 3")).mapInArrow(_sorted_units(spread), PACKED)
     answers = units.unionByName(asked.filter("stage = 2").select(*PACKED.names))
     late = meeting(answers, asked.filter("stage = 4")).mapInArrow(_finished, _FINAL)
     results = asked.filter("stage = 9").select(*_FINAL.names).unionByName(late)
