@@ -6,9 +6,10 @@ Patterns, each applied leftmost without overlaps, matches below the least length
 A fourth kind, ``random``, takes every other run of 20 or more characters of ``[A-Za-z0-9+/_.=-]``
 and compares two models of character pairs: one learnt from ordinary identifiers, one from random strings. A run is a span
 if the log-likelihood ratio passes both a total and a per-character bound and it meets no span of the patterns. Labelled
-samples: runs of 6 or more characters in at most about ``TRAINING_TEXTS`` texts, drawn by hash, outside pattern matches, are
-ordinary; digests of the same runs, written in base 64, 36 and 16, are random. Their pair counts, at most
-67 x 67 numbers, become one array literal.
+samples: the distinct runs of 6 or more characters of all texts, outside pattern matches, are ordinary; digests of the same runs,
+written in base 64, 36 and 16, are random. A run found n times weighs as much as n has binary digits: copied texts don't drown the
+styles of small sources, and unique random strings don't drown the words. Their pair counts, at most 68 x 68 numbers, become one
+array literal.
 
 Plain column expressions throughout. Positions are code points, ends exclusive. A NULL text counts as empty and has no spans. Rows and
 other columns stay as they are.
@@ -29,7 +30,6 @@ KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 CANDIDATE, LEAST_RUN = VALUE + "{20,}+", 20
-TRAINING_TEXTS = 4000
 #: Bounds on the log-likelihood ratio: in total, and per pair of characters.
 TOTAL, EACH = 16.0, 0.5
 
@@ -65,15 +65,13 @@ def pattern_spans(text: Column) -> list[Column]:
     return [_found(text, pattern, _QUICK[name], least, k) for k, (name, pattern, least) in enumerate(PATTERNS)]
 
 
-def train(docs: DataFrame, text_col: str = "text", most: int = TRAINING_TEXTS) -> list[float]:
+def train(docs: DataFrame, text_col: str = "text") -> list[float]:
     """Log-likelihood ratios (random to ordinary) for pairs of characters, row by row of the alphabet."""
-    rows = max(1, docs.count())
     text = F.col(text_col)
-    sample = docs.filter(F.pmod(F.xxhash64(F.lit(5), text), F.lit(rows)) < most) if rows > most else docs
     for _, pattern, _least in PATTERNS[:2]:
         text = F.regexp_replace(text, pattern, " ")
     text = F.regexp_replace(text, "[0-9a-f]{32,}", " ")
-    runs = sample.select(F.explode(F.regexp_extract_all(text, F.lit(VALUE + "{6,}"), 0)).alias("run")).distinct()
+    runs = docs.select(F.explode(F.regexp_extract_all(text, F.lit(VALUE + "{6,}"), 0)).alias("run")).groupBy("run").count()
     digest = F.sha2(F.col("run"), 256)
     n = F.least(F.length("run") * 2, F.lit(40))
     made = [
@@ -81,15 +79,17 @@ def train(docs: DataFrame, text_col: str = "text", most: int = TRAINING_TEXTS) -
         F.lower(F.concat(F.conv(F.substring(digest, 1, 15), 16, 36), F.conv(F.substring(digest, 20, 15), 16, 36))),
         F.substring(digest, F.lit(1), n),
     ]
-    strings = runs.select(
-        F.explode(
-            F.array(F.struct(F.col("run").alias("s"), F.lit(0).alias("random")), *[F.struct(m.alias("s"), F.lit(1).alias("random")) for m in made])
-        ).alias("x")
-    ).select("x.*")
-    pairs = strings.filter("length(s) > 1").select(
-        "random", F.explode(F.expr("transform(sequence(1, length(s) - 1), i -> substring(s, i, 2))")).alias("pair")
-    )
-    counts = pairs.groupBy("pair").agg(F.sum("random").alias("random"), F.sum(1 - F.col("random")).alias("ordinary")).collect()
+    # Whole weights, so that their sums do not depend on the order of addition.
+    weight = F.length(F.bin("count")).cast("long")
+
+    def kind(s: Column, ordinary: Column, random: Column) -> Column:
+        return F.struct(s.alias("s"), ordinary.alias("ordinary"), random.alias("random"))
+
+    nil, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    strings = runs.select(F.explode(F.array(kind(F.col("run"), weight, nil), *[kind(m, nil, one) for m in made])).alias("x")).select("x.*")
+    # The lookahead gives the pair at every position in one pass over the string.
+    pairs = strings.select("ordinary", "random", F.explode(F.regexp_extract_all("s", F.lit("(?=(..))."), 1)).alias("pair"))
+    counts = pairs.groupBy("pair").agg(F.sum("random").alias("random"), F.sum("ordinary").alias("ordinary")).collect()
     size = len(ALPHABET)
     table = [[[0.5] * size for _ in range(size)] for _ in range(2)]
     for row in counts:

@@ -75,3 +75,16 @@ def test_many_matches_in_one_text(texts):
 def test_empty_tables(texts):
     assert len(train(texts([]))) == len(ALPHABET) ** 2
     assert with_secrets(texts([]), train(texts([(1, "", "s")]))).collect() == []
+
+
+def test_the_model_learns_from_every_text_however_often_one_is_copied(llm, texts):
+    rng = random.Random(20)
+    words = prose(rng, 3000).split()
+    common = texts([(i, " ".join("_".join(rng.sample(words, 3)) for _ in range(40)), "s") for i in range(60)])
+    rare = [(9000 + i, " ".join("Q7-X9-" + "".join(rng.choices("QX79", k=3)) + "=Q7=X9=Q7X9=Q7X9" for _ in range(40)), "small") for i in range(3)]
+    copies = llm.range(1000).crossJoin(common).drop("id")
+    secret = "kJ8s9dQ2mZp4Lr7tVb1XyW3fGh6"
+    asked = texts([(1, f"x {secret} y", "s"), (2, rare[0][1].replace("-", "="), "small")])
+    got = with_secrets(asked, train(copies.unionByName(texts(rare)))).select("doc_id", rendered("spans").alias("s")).collect()
+    # A sample drawn from the 60,003 rows saw four of the distinct texts.
+    assert {r["doc_id"]: r["s"] for r in got} == {1: f"random:2:{2 + len(secret)}", 2: ""}
