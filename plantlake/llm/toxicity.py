@@ -2,17 +2,21 @@
 
 A text is cut into clauses, a clause into words. Five machines read the words side by side, composed into one:
 
-* insult and threat machines accept words by a lexicon of whole words and word beginnings with learnt weights; a word of both takes the
-  higher one;
+* the insult machine accepts an insult and a target in either order; an insult alone ends in a state of less weight;
+* the threat machine accepts a threat verb and then a target or an insult as its object; a verb alone keeps only a share of its
+  learnt weight, if it has one;
 * the target machine remembers whether the clause addresses or names somebody;
 * the negation machine remembers a negation for the next three words;
 * the reported-speech machine remembers a reporting verb or an opening quotation mark until the clause or the quotation ends.
 
-Each match moves to a state of the composed machine, whose arc multiplies the match's weight by a factor for its context
-(plain, targeted, negated, reported, and their combinations). A clause scores its best path: its best weighted match plus a share
+Insults are words and pairs of neighbouring words of one clause, found in a lexicon of whole words, word beginnings and pairs with
+learnt weights. A pair is a pattern of its own and has its full weight. Negation and reported speech count where a match
+stands; target, insult and threat count by the state at the end of the clause, so that they see later words too. A
+match's weight is multiplied by the weight of that state and by a factor for its context (plain, targeted, negated,
+reported, and their combinations). A clause scores its best path: its best weighted match plus a share
 of the next one. A text's evidence is its best clause plus a share of the second. The score is a logistic curve over the evidence.
 
-Learning, from labelled rows only: the lexicon from smoothed log-odds of words and beginnings of words in toxic and clean texts;
+Learning, from labelled rows only: the lexicon from smoothed log-odds of words, beginnings and pairs in toxic and clean texts;
 a context's factor from how often matches in it come from toxic texts, with a prior that halves negated and reported matches; the
 curve by maximum likelihood. At most about ``TRAINING_TEXTS`` labelled texts are used, drawn by a hash of their ids.
 
@@ -57,20 +61,46 @@ def terms(word: str) -> list[str]:
     return [word + "$", *(word[:k] for k in BEGINNINGS if len(word) >= k)]
 
 
+def pairs(words: list[str]) -> list[str]:
+    """Lexicon keys of the pairs of neighbouring words of a clause; no word holds a blank."""
+    return [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def clauses_of(lower: str) -> Iterator[list[str]]:
+    """Words of each clause."""
+    words: list[str] = []
+    for token in _TOKEN.findall(lower):
+        if token[0] in ".!?;:\n":
+            yield words
+            words = []
+        elif token[0] not in "\"“”«»":
+            words.append(token)
+    yield words
+
+
 @dataclass(frozen=True)
 class Machine:
-    """States 0 … ``states - 1``; ``move`` maps (state, symbol) to the next state."""
+    """States 0 … ``states - 1``; ``move`` maps (state, symbol) to the next state, ``weights`` weighs a clause that ends in a state."""
 
     states: int
     move: tuple[tuple[int, ...], ...]
+    weights: tuple[float, ...] = ()
 
 
 # Symbols of the composed machine's input.
-OTHER, TARGET, NEGATION, REPORT, QUOTE = range(5)
-TARGETED = Machine(2, tuple(tuple(1 if s or symbol == TARGET else 0 for symbol in range(5)) for s in range(2)))
-NEGATED = Machine(SCOPE + 1, tuple(tuple(SCOPE if symbol == NEGATION else max(0, s - 1) for symbol in range(5)) for s in range(SCOPE + 1)))
+OTHER, TARGET, NEGATION, REPORT, QUOTE, INSULT, THREAT = SYMBOLS = range(7)
+#: Weight of an insult without target, and of a threat verb without object.
+ALONE = 0.75
+TARGETED = Machine(2, tuple(tuple(1 if s or symbol == TARGET else 0 for symbol in SYMBOLS) for s in range(2)))
+NEGATED = Machine(SCOPE + 1, tuple(tuple(SCOPE if symbol == NEGATION else max(0, s - 1) for symbol in SYMBOLS) for s in range(SCOPE + 1)))
 # 0 none, 1 after a reporting verb, 2 inside a quotation
-REPORTED = Machine(3, tuple(tuple((0 if s == 2 else 2) if symbol == QUOTE else (1 if symbol == REPORT and s == 0 else s) for symbol in range(5)) for s in range(3)))
+REPORTED = Machine(3, tuple(tuple((0 if s == 2 else 2) if symbol == QUOTE else (1 if symbol == REPORT and s == 0 else s) for symbol in SYMBOLS) for s in range(3)))
+# 0 none, 1 target, 2 insult, 3 both
+INSULTED = Machine(4, tuple(tuple(s | {TARGET: 1, INSULT: 2}.get(symbol, 0) for symbol in SYMBOLS) for s in range(4)), (0.0, 0.0, ALONE, 1.0))
+# 0 none, 1 verb, 2 verb and then its object
+THREATENED = Machine(
+    3, tuple(tuple(2 if s == 1 and symbol in (TARGET, INSULT) else max(s, int(symbol == THREAT)) for symbol in SYMBOLS) for s in range(3)), (0.0, ALONE, 1.0)
+)
 
 
 def compose(*machines: Machine) -> Machine:
@@ -83,7 +113,7 @@ def compose(*machines: Machine) -> Machine:
             parts.append(rest % m.states)
             rest //= m.states
         row = []
-        for symbol in range(5):
+        for symbol in SYMBOLS:
             nxt, base = 0, 1
             for m, s in zip(machines, parts, strict=True):
                 nxt += base * m.move[s][symbol]
@@ -93,13 +123,16 @@ def compose(*machines: Machine) -> Machine:
     return Machine(total, tuple(moves))
 
 
-GRAMMAR = compose(TARGETED, NEGATED, REPORTED)
+GRAMMAR = compose(TARGETED, NEGATED, REPORTED, INSULTED, THREATENED)
+_MARKS = TARGETED.states * NEGATED.states
+_INSULTS = _MARKS * REPORTED.states
+_THREATS = _INSULTS * INSULTED.states
 
 
 def context(state: int) -> int:
     """Three bits: targeted, negated, reported."""
     targeted, rest = state % TARGETED.states, state // TARGETED.states
-    negated, reported = rest % NEGATED.states, rest // NEGATED.states
+    negated, reported = rest % NEGATED.states, state // _MARKS % REPORTED.states
     return int(targeted > 0) | int(negated > 0) << 1 | int(reported > 0) << 2
 
 
@@ -115,6 +148,8 @@ class ToxicityModel:
 
     def __post_init__(self):
         self.known: dict[str, float] = {}
+        self.pairs = {k: w for k, w in self.lexicon.items() if " " in k}
+        self.heads = frozenset(k.split(" ")[0] for k in self.pairs)
 
     def weight(self, word: str) -> float:
         """Weight of a word, 0 without an entry. Remembered; the memory is bounded."""
@@ -123,8 +158,6 @@ class ToxicityModel:
             if len(self.known) > 500_000:
                 self.known.clear()
             found = max((self.lexicon.get(t, 0.0) for t in terms(word)), default=0.0)
-            if word in THREATS:
-                found = max(found, 1.0)
             self.known[word] = found
         return found
 
@@ -132,26 +165,48 @@ class ToxicityModel:
         """For each clause with matches: (weight, context) of each."""
         lower = text.lower()
         weight = self.weight
-        if not any(map(weight, set(_WORD.findall(lower)))):
+        if not any(w in self.heads or w in THREATS or weight(w) for w in set(_WORD.findall(lower))):
             return []
-        out, clause, state = [], [], 0
+        out, clause, state, last = [], [], 0, ""
+
+        def close() -> None:
+            """Weigh the clause's matches by the state it ends in."""
+            insult = INSULTED.weights[state // _INSULTS % INSULTED.states]
+            threat = THREATENED.weights[state // _THREATS]
+            targeted = context(state) & 1
+            found = []
+            for kind, w, c in clause:
+                if kind == THREAT:
+                    w = max(w, 1.0) if threat == 1.0 else w * threat
+                elif kind == INSULT:
+                    w *= insult
+                if w:
+                    found.append((w, c | targeted))
+            if found:
+                out.append(found)
+
         for token in _TOKEN.findall(lower):
             first = token[0]
             if first in ".!?;:\n":
-                quoted = state // (TARGETED.states * NEGATED.states) == 2
-                state = 2 * TARGETED.states * NEGATED.states if quoted and "\n" not in token else 0
-                if clause:
-                    out.append(clause)
-                    clause = []
+                close()
+                quoted = state // _MARKS % REPORTED.states == 2
+                state = 2 * _MARKS if quoted and "\n" not in token else 0
+                clause, last = [], ""
                 continue
             symbol = (
                 QUOTE if first in "\"“”«»" else TARGET if token in TARGETS else NEGATION if token in NEGATIONS else REPORT if token in REPORTS else OTHER
             )
-            if symbol == OTHER and (w := weight(token)):
-                clause.append((w, context(state)))
+            if symbol == OTHER:
+                w = weight(token)
+                symbol = THREAT if token in THREATS else INSULT if w else OTHER
+                if symbol != OTHER:
+                    clause.append((symbol, w, context(state)))
+            if symbol != QUOTE:
+                if last in self.heads and (w := self.pairs.get(f"{last} {token}", 0.0)):
+                    clause.append((OTHER, w, context(state)))
+                last = token
             state = GRAMMAR.move[state][symbol]
-        if clause:
-            out.append(clause)
+        close()
         return out
 
     def evidence(self, matches: list[list[tuple[float, int]]]) -> float:
@@ -168,12 +223,13 @@ class ToxicityModel:
 
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, label → the text's distinct lexicon keys, with the counts of a slice added up."""
+    """text, label → the text's distinct lexicon keys, pairs included, with the counts of a slice added up."""
     for batch in slices(batches, 0):
         counts: dict[str, list[int]] = {}
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = set(_WORD.findall((text or "").lower()))
-            for term in {t for w in words for t in terms(w)}:
+            clauses = list(clauses_of((text or "").lower()))
+            found = {t for w in {w for c in clauses for w in c} for t in terms(w)}
+            for term in found.union(*map(pairs, clauses)):
                 counts.setdefault(term, [0, 0])[int(label)] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), *(pa.array([c[k] for c in counts.values()], pa.int64()) for k in (1, 0))],

@@ -72,3 +72,33 @@ def test_labels_of_one_kind_and_empty_tables(corpus):
     assert not model.lexicon and model.slope == 0.0
     fit = fit_toxicity(docs.limit(0), only.limit(0))
     assert fit.score([]) == 0.5 and score_texts(docs.limit(0), fit).collect() == []
+
+
+def test_insults_and_threats_are_weighed_at_the_end_of_their_clause():
+    model = ToxicityModel({"blorg$": 4.0, "grey rat": 3.0})
+
+    def evidence(text):
+        return model.evidence(model.matches(text))
+
+    assert evidence("such a blorg you") == evidence("you such a blorg") > evidence("such a blorg")
+    # A threat needs an object after its verb, in its clause.
+    assert evidence("we kill you") >= 1.0 and evidence("we kill the blorg") > evidence("we see the blorg")
+    assert evidence("we kill time") == evidence("you saw it kill") == evidence("we kill. you") == 0.0
+    # A pattern of two words; neither is an entry of its own.
+    assert evidence("that grey rat") > 0 and evidence("grey. rat") == evidence("rat grey") == 0.0
+
+
+def test_pairs_of_ordinary_words_are_learnt(llm):
+    rng = random.Random(27)
+    rows = []
+    for i in range(600):
+        words = prose(rng, rng.randint(8, 60)).split()
+        at = rng.randrange(len(words))
+        # Both words are as frequent in clean texts; only their neighbourhood tells.
+        words[at:at] = ["stale", "bread"] if i % 5 == 0 else ["bread", "stale"]
+        rows.append((i, " ".join(words), int(i % 5 == 0)))
+    corpus = llm.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    train = corpus.filter("doc_id % 3 <> 1").select("doc_id", F.col("toxic").cast("double").alias("label"))
+    docs = corpus.select("doc_id", "text")
+    scored = score_texts(docs, fit_toxicity(docs, train)).join(corpus.select("doc_id", "toxic"), "doc_id").filter("doc_id % 3 = 1").collect()
+    assert sum((r["score"] >= 0.7) != bool(r["toxic"]) for r in scored) <= 2
