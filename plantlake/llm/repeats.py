@@ -118,12 +118,26 @@ def _home(cls: np.ndarray, spread: int) -> np.ndarray:
     return (mixed(cls.view(np.uint64).copy()) % np.uint64(spread)).astype(np.int64)
 
 
+def _distinct(*columns: np.ndarray) -> np.ndarray:
+    """Marks, in sorted columns, of the entries that differ from the one before them.
+
+    Rows that agree in id and text have one address. What is said about it holds for the first of them, so that
+    the others must not be told as its repeats.
+    """
+    fresh = np.zeros(len(columns[0]), dtype=bool)
+    fresh[:1] = True
+    for c in columns:
+        fresh[1:] |= c[1:] != c[:-1]
+    return fresh
+
+
 def _combined(gathered: list[tuple], spread: int, crowd: int) -> Iterator[pa.RecordBatch]:
     """The runs of a task: equal ones once, the rest covered; crowded anchors as a mark and as windows to be asked for."""
     if not gathered:
         return
     hashes, text, ids, cls, start, count = (np.concatenate(c) for c in zip(*gathered, strict=True))
     order = np.lexsort((start, cls, ids, text, hashes))
+    order = order[_distinct(*(c[order] for c in (hashes, text, ids, cls, start)))]
     hashes, text, ids, cls, start, count = (c[order] for c in (hashes, text, ids, cls, start, count))
     new_hash = np.concatenate(([True], hashes[1:] != hashes[:-1]))
     new_text = new_hash | np.concatenate(([True], text[1:] != text[:-1]))
@@ -280,9 +294,12 @@ def _sorted_units(spread: int):
         count = c["count"].astype(np.int64)
         size = count + LENGTH - 1
         begin = np.cumsum(size) - size
-        order = np.lexsort((c["start"], c["cls"], c["id"]))
+        order = np.lexsort((count, c["start"], c["cls"], c["id"]))
+        fresh = _distinct(*(x[order] for x in (c["id"], c["cls"], c["start"], count)))
+        kept = np.sort(order[fresh])
         earlier = np.empty(len(order), dtype=np.int64)
         earlier[order] = np.arange(len(order))
+        c, begin, count, earlier = {k: v[kept] for k, v in c.items()}, begin[kept], count[kept], earlier[kept]
         marks = repeated_windows(data, begin, count, earlier)
         # Runs of marked windows.
         slice_of = np.repeat(np.arange(len(count)), count)
@@ -416,7 +433,7 @@ def _asking(spread: int):
                         here, seen = (i, cls, p), windows.get(window)
                         if seen is None or here < seen:
                             windows[window] = here
-                        if seen is not None:
+                        if seen is not None and seen != here:
                             late.append(max(here, seen))
             yield _texts_batch(out)
             if len(windows) > 100_000 or size > 16 << 20:

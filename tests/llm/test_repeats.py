@@ -97,3 +97,21 @@ def test_few_texts_leave_partitions_without_flags(texts):
         assert sorted(map(tuple, without_repeats(copies).collect()), key=str) == brute([*rows, (4, rows[0][1], "s")])
     finally:
         docs.sparkSession.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 211])
+def test_rows_that_agree_in_id_and_text_keep_one_of_them(texts, partitions):
+    rng = random.Random(31)
+    passage, crowd = letters(rng, 400), letters(rng, 180)
+    rows = [(1, passage, "s"), (1, passage, "s"), (None, letters(rng, 300), "s"), (2, "x" + passage, "s")]
+    rows += [rows[2], *[(10 + i, letters(rng, 60) + crowd + letters(rng, 60), "s") for i in range(6)]]
+    rows += [rows[-1], rows[-2]]
+    docs = texts(rows)
+    before = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    docs.sparkSession.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        for crowd_at in (2, 10**6):
+            got = without_repeats(docs.repartition(min(partitions, 8)), crowd=crowd_at, crowd_all=crowd_at).collect()
+            assert sorted(map(tuple, got), key=str) == brute(rows)
+    finally:
+        docs.sparkSession.conf.set("spark.sql.shuffle.partitions", before)
