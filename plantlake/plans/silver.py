@@ -30,10 +30,21 @@ MACHINE_RULES = {
 MACHINE_KEYS = ["machine_id"]
 MACHINE_SEQUENCE = "machine_timestamp"
 # The declared order of the history's columns.
-HISTORY_COLUMNS = (
-    "machine_sk machine_id machine_name machine_location machine_type manufacturer installation_date machine_status"
-    " max_temperature max_pressure machine_timestamp __START_AT __END_AT"
-).split()
+HISTORY_COLUMNS = [
+    "machine_sk",
+    "machine_id",
+    "machine_name",
+    "machine_location",
+    "machine_type",
+    "manufacturer",
+    "installation_date",
+    "machine_status",
+    "max_temperature",
+    "max_pressure",
+    "machine_timestamp",
+    "__START_AT",
+    "__END_AT",
+]
 
 
 def sensor_columns(bronze: DataFrame) -> DataFrame:

@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -34,7 +33,3 @@ def rows():
         return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is not None, str(v)) for v in r))
 
     return collect
-
-
-def at(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(text)

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import at
+from instants import at
 
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import at
+from instants import at
 
 from pyspark.sql import functions as F
 

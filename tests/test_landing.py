@@ -2,7 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import at
+from instants import at
 
 from plantlake.config import SENSOR_DATA
 from plantlake.operators.layout import cluster_rows

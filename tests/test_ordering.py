@@ -1,6 +1,6 @@
 import random
 
-from conftest import at
+from instants import at
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F

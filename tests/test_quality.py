@@ -1,4 +1,4 @@
-from conftest import at
+from instants import at
 
 from pyspark.sql import Observation
 

@@ -3,7 +3,7 @@ import random
 from dataclasses import replace
 
 import pytest
-from conftest import at
+from instants import at
 
 from pyspark.sql import functions as F
 
