@@ -35,7 +35,52 @@ result AS (
     least(v.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = v.vec_id), v.vec_id)) AS component_id FROM embeddings v)
 SELECT *, vec_id = component_id AS kept FROM result"""
 
-_ORACLES = {"op5_ngram_join": _NGRAM_JOIN, "op10_embedding_near_duplicates": _EMBEDDINGS}
+_MERKLE = """
+WITH RECURSIVE raw AS (
+  SELECT doc_id, lang, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') AS i, coalesce(strlen(source) || ':' || source, '-') AS s,
+    coalesce(strlen(lang) || ':' || lang, '-') AS l, n_chars, coalesce(strlen(text) || ':' || text, '-') AS t, crc32_of.tampered
+  FROM documents d LEFT JOIN (SELECT doc_id AS tampered_id, true AS tampered FROM (
+    SELECT doc_id, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+        lambda v, z: xor(v >> 1, (v & 1) * 3988292384::UBIGINT))) AS crc FROM documents)
+    WHERE xor(crc, 4294967295::UBIGINT) % 7 = 0) crc32_of ON d.doc_id = crc32_of.tampered_id),
+leaves AS (
+  SELECT doc_id, lang, sha256(i || s || l || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') || t) AS leaf,
+    CASE WHEN tampered THEN sha256(i || s || l || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1)::VARCHAR, '-') || t) END AS present FROM raw),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves),
+nodes(lv, lang, p, d, n) AS (
+  SELECT 0, lang, p, leaf, count(*) OVER (PARTITION BY lang) FROM placed
+  UNION ALL
+  SELECT lv + 1, lang, p // 2, h, (n + 1) // 2 FROM (
+    SELECT lv, lang, p, n, sha256(d || coalesce(lead(d) OVER (PARTITION BY lang ORDER BY p), '')) AS h FROM nodes WHERE n > 1) WHERE p % 2 = 0),
+subroots AS (SELECT lang, d AS subroot, lv AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p FROM nodes WHERE n = 1),
+crown(lv, p, d, n) AS (
+  SELECT 0, p, subroot, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT lv + 1, p // 2, h, (n + 1) // 2 FROM (
+    SELECT lv, p, n, sha256(d || coalesce(lead(d) OVER (ORDER BY p), '')) AS h FROM crown WHERE n > 1) WHERE p % 2 = 0),
+steps AS (
+  SELECT r.doc_id, r.leaf, x.lv, (r.p >> x.lv) % 2 AS side, o.d AS other
+  FROM placed r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang JOIN nodes x ON x.lang IS NOT DISTINCT FROM r.lang AND x.p = r.p >> x.lv AND x.lv < s.height
+    LEFT JOIN nodes o ON o.lang IS NOT DISTINCT FROM r.lang AND o.lv = x.lv AND o.p = xor(r.p >> x.lv, 1)
+  UNION ALL
+  SELECT r.doc_id, r.leaf, s.height + x.lv, (s.p >> x.lv) % 2, o.d
+  FROM placed r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang JOIN crown x ON x.p = s.p >> x.lv AND x.n > 1
+    LEFT JOIN crown o ON o.lv = x.lv AND o.p = xor(s.p >> x.lv, 1)),
+paths AS (
+  SELECT doc_id, leaf, list({'side': side, 'other': other} ORDER BY lv) AS path, sha256(coalesce(string_agg(other, '' ORDER BY lv), '')) AS proof_sha256
+  FROM steps GROUP BY doc_id, leaf),
+folds(doc_id, leaf, k, d) AS (
+  SELECT doc_id, leaf, 0, coalesce(present, leaf) FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.leaf, k + 1, sha256(CASE WHEN path[k + 1].side = 1 THEN path[k + 1].other || d ELSE d || coalesce(path[k + 1].other, '') END)
+  FROM folds f JOIN paths USING (doc_id, leaf) WHERE k < len(path)),
+folded AS (SELECT doc_id, leaf, arg_max(d, k) AS folded_root FROM folds GROUP BY doc_id, leaf)
+SELECT r.doc_id, r.leaf, s.subroot, c.d AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = c.d AS verified
+FROM placed r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang JOIN (SELECT d FROM crown WHERE n = 1) c ON true
+  LEFT JOIN paths q ON q.doc_id = r.doc_id AND q.leaf = r.leaf JOIN folded f ON f.doc_id = r.doc_id AND f.leaf = r.leaf"""
+
+_ORACLES = {"op5_ngram_join": _NGRAM_JOIN, "op10_embedding_near_duplicates": _EMBEDDINGS, "op13_merkle_manifest": _MERKLE}
 
 
 def llm_oracles() -> dict[str, str]:

@@ -126,3 +126,13 @@ def op10_embedding_near_duplicates(spark, sf_dir):
     return found.select(
         F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
     )
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Where 7 divides crc32 of the id, the present row has one more in n_chars."""
+    from plantlake.llm.manifest import leaf_digest, verified_rows
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = leaf_digest([F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in docs.columns])
+    return verified_rows(docs, docs.columns, "doc_id", "lang", F.when(remainder("doc_id", 7) == 0, tampered))
