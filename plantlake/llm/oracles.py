@@ -35,6 +35,14 @@ result AS (
     least(v.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = v.vec_id), v.vec_id)) AS component_id FROM embeddings v)
 SELECT *, vec_id = component_id AS kept FROM result"""
 
+_WARC = """
+WITH payloads AS (SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+ranked AS (
+  SELECT *, first_value(page_id) OVER w AS first, n >= 100 AND row_number() OVER w > 1 AS again FROM payloads
+  WINDOW w AS (PARTITION BY d ORDER BY page_id NULLS LAST, url NULLS LAST))
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to FROM ranked"""
+
 _MERKLE = """
 WITH RECURSIVE raw AS (
   SELECT doc_id, lang, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') AS i, coalesce(strlen(source) || ':' || source, '-') AS s,
@@ -80,7 +88,7 @@ SELECT r.doc_id, r.leaf, s.subroot, c.d AS root, coalesce(q.proof_sha256, sha256
 FROM placed r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang JOIN (SELECT d FROM crown WHERE n = 1) c ON true
   LEFT JOIN paths q ON q.doc_id = r.doc_id AND q.leaf = r.leaf JOIN folded f ON f.doc_id = r.doc_id AND f.leaf = r.leaf"""
 
-_ORACLES = {"op5_ngram_join": _NGRAM_JOIN, "op10_embedding_near_duplicates": _EMBEDDINGS, "op13_merkle_manifest": _MERKLE}
+_ORACLES = {"op5_ngram_join": _NGRAM_JOIN, "op10_embedding_near_duplicates": _EMBEDDINGS, "op11_warc": _WARC, "op13_merkle_manifest": _MERKLE}
 
 
 def llm_oracles() -> dict[str, str]:

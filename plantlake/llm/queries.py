@@ -128,6 +128,13 @@ def op10_embedding_near_duplicates(spark, sf_dir):
     )
 
 
+@query
+def op11_warc(spark, sf_dir):
+    from plantlake.llm.warc import archived_pages
+
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     """Where 7 divides crc32 of the id, the present row has one more in n_chars."""
