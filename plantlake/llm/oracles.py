@@ -43,6 +43,22 @@ ranked AS (
 SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN again THEN first END AS refers_to FROM ranked"""
 
+_NEGATIVES = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
 _MERKLE = """
 WITH RECURSIVE raw AS (
   SELECT doc_id, lang, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') AS i, coalesce(strlen(source) || ':' || source, '-') AS s,
@@ -88,7 +104,7 @@ SELECT r.doc_id, r.leaf, s.subroot, c.d AS root, coalesce(q.proof_sha256, sha256
 FROM placed r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang JOIN (SELECT d FROM crown WHERE n = 1) c ON true
   LEFT JOIN paths q ON q.doc_id = r.doc_id AND q.leaf = r.leaf JOIN folded f ON f.doc_id = r.doc_id AND f.leaf = r.leaf"""
 
-_ORACLES = {"op5_ngram_join": _NGRAM_JOIN, "op10_embedding_near_duplicates": _EMBEDDINGS, "op11_warc": _WARC, "op13_merkle_manifest": _MERKLE}
+_ORACLES = {"op5_ngram_join": _NGRAM_JOIN, "op10_embedding_near_duplicates": _EMBEDDINGS, "op11_warc": _WARC, "op12_hard_negatives": _NEGATIVES, "op13_merkle_manifest": _MERKLE}
 
 
 def llm_oracles() -> dict[str, str]:

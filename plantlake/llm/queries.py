@@ -135,6 +135,15 @@ def op11_warc(spark, sf_dir):
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Where 7 divides the id, the label counts as the next one, modulo 10; every hundredth row is an anchor."""
+    from plantlake.llm.negatives import hard_negatives
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     """Where 7 divides crc32 of the id, the present row has one more in n_chars."""
