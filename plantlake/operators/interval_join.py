@@ -55,14 +55,15 @@ def join_valid_at(
     """Add ``take`` of the version with ``start <= at < end`` (NULL end = open); unmatched facts stay.
 
     The versions of a key must not overlap, which a type 2 history guarantees.
-    ``direct`` is an equi join with a range residual: Catalyst broadcasts a small dimension,
-    and the fact table is not shuffled. ``bucketed`` keeps the comparisons per fact small
-    for any history; ``unit`` is the width of its buckets. ``auto``, and a missing ``unit``,
-    are decided by counting the versions, with aggregates over the dimension only.
+    ``auto`` is the join of `valid_at_sql`: one plan for any history, without a job before it. ``direct`` is an equi
+    join with a range residual, for dimensions known to be small and to have few versions per key: they are broadcast,
+    and the facts are not shuffled. ``bucketed`` cuts time as finely as the densest key needs, for very many versions per
+    key and day; a missing ``unit``, the width of its buckets, is found by counting the versions.
     """
     keys, take = list(keys), list(take)
     if method == "auto":
-        method = "direct" if most_versions(versions, keys, start) <= CANDIDATES else "bucketed"
+        text = valid_at_sql("{facts}", "{versions}", keys, at, start, end, take)
+        return facts.sparkSession.sql(text, facts=facts, versions=versions).select(*facts.columns, *take)
     if method == "direct":
         return _direct(facts, versions, keys, at, start, end, take)
     if method == "bucketed":
@@ -71,6 +72,33 @@ def join_valid_at(
     raise ValueError(f"unknown join method: {method}")
 
 
+def valid_at_sql(
+    facts: str, versions: str, keys: Sequence[str], at: str, start: str, end: str, take: Sequence[str]
+) -> str:
+    """SQL over two tables or views: all columns of ``facts``, and ``take`` of the version valid at ``at``.
+
+    Each version lists the days it touches, and a fact meets the versions of its key and day. The key and the day are the join
+    key, so the facts of a hot key spread over its days, and should one day still be hot, the adaptive skew join splits it,
+    as the facts are the preserved side. The facts are read and shuffled once. Nothing changes after the
+    last day on which a version starts, so that later days, and later facts, count as that day; a start in the future
+    counts as today. That only bounds the list of days: the instants are compared as they are. The optimizer doesn't
+    count the expansion into days, so the hint keeps it from broadcasting them.
+    """
+    last = f"(SELECT least(current_date(), max(CAST(`{start}` AS DATE))) FROM {versions})"
+    named = [f"`{k}` AS __key{i}" for i, k in enumerate(keys)] + [f"`{start}` AS __start", f"`{end}` AS __end"]
+    taken = [f"`{t}`" for t in take]
+    first_day, last_day = "least(CAST(__start AS DATE), __last)", "least(coalesce(CAST(__end AS DATE), __last), __last)"
+    same = " AND ".join(f"f.`{k}` = v.__key{i}" for i, k in enumerate(keys))
+    return (
+        f"SELECT /*+ MERGE(v) */ f.* EXCEPT (__day), {', '.join(f'v.{t}' for t in taken)}"
+        f" FROM (SELECT *, least(CAST(`{at}` AS DATE), {last}) AS __day FROM {facts}) f"
+        f" LEFT JOIN (SELECT *, explode(sequence({first_day}, {last_day})) AS __day"
+        f" FROM (SELECT {', '.join([*named, *taken])}, {last} AS __last FROM {versions})"
+        " WHERE __start IS NOT NULL AND (__end IS NULL OR __end > __start)) v"
+        f" ON {same} AND f.__day = v.__day AND f.`{at}` >= v.__start AND (v.__end IS NULL OR f.`{at}` < v.__end)"
+    )
+
+
 def _all_present(columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
 

@@ -197,6 +197,7 @@ _RELATIONAL = {
     "dim_machine_daily": _all("SELECT * FROM daily"),
     "gold_fact_sensor": _GOLD_FACT,
     "gold_fact_sensor_bucketed": _GOLD_FACT,
+    "gold_fact_sensor_view": _GOLD_FACT,
     "fact_sensor_agg": _all("SELECT * FROM agg"),
     "materialize_gold": _all("SELECT * FROM agg"),
     "full_load_agg": _all("SELECT * EXCLUDE (machine_sk) REPLACE (CAST(machine_id AS VARCHAR) AS machine_id) FROM agg"),

@@ -107,17 +107,7 @@ def load_dim_machine_h(spark: SparkSession, cfg: PipelineConfig, buckets: int =
 def gold_views(cfg: PipelineConfig) -> dict[str, str]:
     """The two gold views as SQL over silver, for any session that shares the catalog."""
     history, facts = f"{cfg.silver_schema}.dim_machine_h", f"{cfg.silver_schema}.fact_sensor"
-    attributes, measures = ", ".join(gold.ATTRIBUTES), ", ".join(f"f.{m}" for m in gold.MEASURES)
-    return {
-        "dim_machine_h": f"SELECT machine_sk, machine_id, {attributes}, machine_timestamp, __START_AT AS valid_from_ts,"
-        f" __END_AT AS valid_to_ts, __END_AT IS NULL AS is_current FROM {history}",
-        "fact_sensor": "SELECT f.reading_id, f.machine_id, m.machine_sk, f.machine_timestamp,"
-        " CAST(f.machine_timestamp AS DATE) AS machine_date, hour(f.machine_timestamp) AS reading_hour,"
-        f" dayofweek(f.machine_timestamp) AS reading_day_of_week, {measures}, f.error_code, f.is_anomaly,"
-        f" f.is_high_temperature, f.is_high_pressure, f.is_high_vibration FROM {facts} f LEFT JOIN {history} m"
-        " ON f.machine_id = m.machine_id AND f.machine_timestamp >= m.__START_AT"
-        " AND (m.__END_AT IS NULL OR f.machine_timestamp < m.__END_AT)",
-    }
+    return {"dim_machine_h": gold.dim_machine_h_sql(history), "fact_sensor": gold.fact_sensor_sql(facts, history)}
 
 
 def build_gold(spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None) -> dict[str, DataFrame]:

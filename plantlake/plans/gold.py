@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plantlake.operators.interval_join import join_valid_at
+from plantlake.operators.interval_join import join_valid_at, valid_at_sql
 from plantlake.operators.scd2 import END, START
 
 # Fixed value: first calendar day of the daily dimension.
@@ -23,8 +23,32 @@ ATTRIBUTES = [
     "max_temperature",
     "max_pressure",
 ]
+VERSION_COLUMNS = [
+    "machine_sk",
+    "machine_id",
+    *ATTRIBUTES,
+    "machine_timestamp",
+    f"{START} AS valid_from_ts",
+    f"{END} AS valid_to_ts",
+    f"{END} IS NULL AS is_current",
+]
 DAY_ATTRIBUTES = ["machine_sk", "machine_name", "machine_location", "machine_type", "machine_status"]
 MEASURES = ["temperature", "pressure", "vibration", "power_consumption"]
+READING_COLUMNS = [
+    "reading_id",
+    "machine_id",
+    "machine_sk",
+    "machine_timestamp",
+    "CAST(machine_timestamp AS DATE) AS machine_date",
+    "hour(machine_timestamp) AS reading_hour",
+    "dayofweek(machine_timestamp) AS reading_day_of_week",
+    *MEASURES,
+    "error_code",
+    "is_anomaly",
+    "is_high_temperature",
+    "is_high_pressure",
+    "is_high_vibration",
+]
 FLAG_COUNTS = {
     "anomaly_count": "is_anomaly",
     "high_temp_count": "is_high_temperature",
@@ -54,15 +78,12 @@ def calendar(spark: SparkSession, as_of: Day = None, first_day: str = FIRST_DAY)
 
 def dim_machine_h(history: DataFrame) -> DataFrame:
     """All versions with readable validity columns."""
-    return history.select(
-        "machine_sk",
-        "machine_id",
-        *ATTRIBUTES,
-        "machine_timestamp",
-        F.col(START).alias("valid_from_ts"),
-        F.col(END).alias("valid_to_ts"),
-        F.col(END).isNull().alias("is_current"),
-    )
+    return history.selectExpr(*VERSION_COLUMNS)
+
+
+def dim_machine_h_sql(history: str) -> str:
+    """`dim_machine_h` over a stored table, as the text of a view."""
+    return f"SELECT {', '.join(VERSION_COLUMNS)} FROM {history}"
 
 
 def dim_machine_a(history: DataFrame) -> DataFrame:
@@ -108,22 +129,13 @@ def fact_sensor(facts: DataFrame, history: DataFrame, method: str = "auto") -> D
     joined = join_valid_at(
         facts, history, ["machine_id"], "machine_timestamp", START, END, ["machine_sk"], method=method
     )
-    at = F.col("machine_timestamp")
-    return joined.select(
-        "reading_id",
-        "machine_id",
-        "machine_sk",
-        "machine_timestamp",
-        at.cast("date").alias("machine_date"),
-        F.hour(at).alias("reading_hour"),
-        F.dayofweek(at).alias("reading_day_of_week"),
-        *MEASURES,
-        "error_code",
-        "is_anomaly",
-        "is_high_temperature",
-        "is_high_pressure",
-        "is_high_vibration",
-    )
+    return joined.selectExpr(*READING_COLUMNS)
+
+
+def fact_sensor_sql(facts: str, history: str) -> str:
+    """`fact_sensor` over stored tables, as the text of a view: the same join and the same columns."""
+    joined = valid_at_sql(facts, history, ["machine_id"], "machine_timestamp", START, END, ["machine_sk"])
+    return f"SELECT {', '.join(READING_COLUMNS)} FROM ({joined})"
 
 
 def _daily_measures(facts: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plantlake.config import MACHINE_METADATA, SENSOR_DATA, PipelineConfig
 from plantlake.functions.columns import drop_technical_columns
 from plantlake.operators import quality, scd2
-from plantlake.operators.layout import cluster_rows, materialize
+from plantlake.operators.layout import cluster_rows, create_view, materialize
 from plantlake.plans import alerts, contracts, full_load, gold, silver, synth
 from plantlake.session import configure, scratch_path, write_through
 from plantlake.sources.feeds import machine_feed, order_feed, sensor_feed
@@ -187,6 +187,17 @@ def gold_fact_sensor_bucketed(spark, sf_dir):
     return gold.fact_sensor(_facts(spark, sf_dir), _stored_history(spark, sf_dir), method="bucketed")
 
 
+@query
+def gold_fact_sensor_view(spark, sf_dir):
+    """The persistent view that a load creates, over stored silver tables."""
+    cfg = _config(spark)
+    cfg.create_schemas(spark)
+    materialize(_facts(spark, sf_dir), f"{cfg.silver_schema}.fact_sensor")
+    materialize(_stored_history(spark, sf_dir), f"{cfg.silver_schema}.dim_machine_h")
+    text = full_load.gold_views(cfg)["fact_sensor"]
+    return create_view(spark, f"{cfg.gold_schema}.fact_sensor", text, full_load.COMMENTS)
+
+
 @query
 def fact_sensor_agg(spark, sf_dir):
     return gold.fact_sensor_agg(_facts(spark, sf_dir), _daily(spark, sf_dir))
