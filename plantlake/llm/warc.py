@@ -95,8 +95,13 @@ def write_archives(
     payload_col: str = "html",
     least: int = LEAST,
     date: str = "2024-01-01T00:00:00Z",
+    compression: str = "gzip",
 ) -> None:
-    """Write one record per row below ``path``."""
+    """Write one record per row below ``path``.
+
+    Compressed archives are read by one task each; their size is that of a shuffle partition. With ``none`` a file of any size is
+    read in splits.
+    """
     keys = ["digest", "id", "url"]
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
@@ -129,7 +134,7 @@ def write_archives(
     again = told.filter("copies > responses").select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies") - F.col("responses"))).alias("nth"))
     head = _record("revisit", _uuid(F.concat_ws("|", F.lit("revisit"), "digest", "id", "url", "nth")), date, F.lit(len(HTTP)), F.col("refers"))
     revisits = again.select(F.concat(head, F.lit(HTTP)).alias("value"))
-    records.unionByName(revisits).write.option("lineSep", END).text(path)
+    records.unionByName(revisits).write.option("lineSep", END).text(path, compression=compression)
 
 
 # --- reading ----------------------------------------------------------------------------
@@ -354,11 +359,18 @@ def broken_files(spark: SparkSession, path: str) -> DataFrame:
     return whole.filter("pos <> size").select("file", "pos")
 
 
-def archived_pages(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+def archived_pages(
+    pages: DataFrame,
+    path: str | None = None,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    payload_col: str = "html",
+    compression: str = "gzip",
+) -> DataFrame:
     """Write the archives and read them back: id, payload_bytes, payload_digest, record_type and refers_to of each row."""
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
-    write_archives(pages, path, id_col, url_col, payload_col)
+    write_archives(pages, path, id_col, url_col, payload_col, compression=compression)
     kind = pages.schema[id_col].dataType
     return read_archives(spark, path).select(
         F.col("id").cast(kind).alias(id_col), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")

@@ -71,7 +71,7 @@ AWKWARD = [
 def test_archives_come_back_in_many_splits(small_splits):
     rng = random.Random(5)
     rows = plain(rng) + hostile(rng) + AWKWARD
-    got = archived_pages(pages_of(small_splits, rows).repartition(3))
+    got = archived_pages(pages_of(small_splits, rows).repartition(3), compression="none")
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
@@ -86,7 +86,7 @@ def test_one_file_of_many_splits_and_records_that_span_several(small_splits, tmp
     rows = [(k, "u", record("b" * rng.randint(0, 200)) * rng.randint(0, 60)) for k in range(40)] + [(99, "u", "t" * 20_000 + MAGIC)]
     path = str(tmp_path / "one")
     small_splits.conf.set("spark.sql.files.maxPartitionBytes", "1000000")
-    write_archives(pages_of(small_splits, rows), path + "/parts")
+    write_archives(pages_of(small_splits, rows), path + "/parts", compression="none")
     small_splits.read.option("lineSep", MAGIC).text(path + "/parts").filter("value <> ''").coalesce(1).select(
         F.concat(F.lit(MAGIC), "value").alias("value")
     ).write.option("lineSep", "#").text(path + "/joined")
@@ -120,7 +120,7 @@ def test_empty_table(llm):
 
 def test_equal_payloads_are_stored_once(llm, tmp_path):
     rows = [(k, "u", "same " * 2000) for k in range(200)]
-    write_archives(pages_of(llm, rows), str(tmp_path / "w"))
+    write_archives(pages_of(llm, rows), str(tmp_path / "w"), compression="none")
     stored = sum(f.stat().st_size for f in (tmp_path / "w").glob("*.txt"))
     assert stored < 2 * 10_000 + 200 * 700
     assert read_archives(llm, str(tmp_path / "w")).filter("record_type = 'response'").count() == 1
