@@ -49,6 +49,21 @@ def _location(spark: SparkSession, database: str) -> str:
     return rows.first()["info_value"].rstrip("/")
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """A folder of its own for a table whose partitions are replaced one by one."""
+    database, _, table = name.rpartition(".")
+    return f"{_location(spark, database or spark.catalog.currentDatabase())}/{table}.days"
+
+
+def declared_columns(df: DataFrame, columns: Sequence[str]) -> str:
+    """Column definitions of a stored table, comments included."""
+    parts = []
+    for field in (df.schema[c] for c in columns):
+        text = field.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
+        parts.append(f"`{field.name}` {field.dataType.simpleString()}" + (f" COMMENT '{text}'" if text else ""))
+    return ", ".join(parts)
+
+
 def materialize(
     df: DataFrame,
     name: str,
@@ -71,11 +86,7 @@ def materialize(
         spark.catalog.refreshTable(name)
     else:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        columns = []
-        for field in df.schema:
-            text = field.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
-            columns.append(f"`{field.name}` {field.dataType.simpleString()}" + (f" COMMENT '{text}'" if text else ""))
-        spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet LOCATION '{place}'")
+        spark.sql(f"CREATE TABLE {name} ({declared_columns(df, df.columns)}) USING parquet LOCATION '{place}'")
     describe_table(spark, name, comment, properties)
     return spark.read.table(name)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plantlake.plans import contracts, silver, synth
-from plantlake.queries import ALERT_AS_OF, DAILY_AS_OF, SYNTH_NOW
+from plantlake.queries import ALERT_AS_OF, DAILY_AS_OF, LATE_CHANGES, LATE_READINGS, SYNTH_NOW
 
 # --- shared pieces ----------------------------------------------------------------------
 
@@ -120,6 +120,11 @@ def _all(select: str) -> str:
     return _with(select, *_ORDER)
 
 
+def _hashed_keys(select: str) -> str:
+    """Like `_all`, with the hashed keys in place of the numbered ones."""
+    return _all(select).replace("JOIN stored m", "JOIN history m")
+
+
 # --- silver, gold, checks ---------------------------------------------------------------
 
 
@@ -200,7 +205,13 @@ _RELATIONAL = {
     "gold_fact_sensor_view": _GOLD_FACT,
     "fact_sensor_agg": _all("SELECT * FROM agg"),
     "materialize_gold": _all("SELECT * FROM agg"),
-    "full_load_agg": _all("SELECT * EXCLUDE (machine_sk) REPLACE (CAST(machine_id AS VARCHAR) AS machine_id) FROM agg"),
+    "full_load_agg": _hashed_keys("SELECT * REPLACE (CAST(machine_id AS VARCHAR) AS machine_id, CAST(machine_sk AS VARCHAR) AS machine_sk) FROM agg"),
+    "gold_refresh": _hashed_keys(
+        f"""SELECT a.* REPLACE (CAST(machine_sk AS VARCHAR) AS machine_sk), machine_date IN (
+  SELECT CAST(machine_timestamp AS DATE) FROM facts WHERE {LATE_READINGS}
+  UNION SELECT CAST(unnest(generate_series(CAST(__START_AT AS DATE), coalesce(CAST(__END_AT AS DATE) - 1, DATE '{DAILY_AS_OF}'), INTERVAL 1 DAY)) AS DATE)
+  FROM history WHERE {LATE_CHANGES}) AS renewed FROM agg a"""
+    ),
     "alert_anomaly_rate": _all(
         "SELECT anomaly_rate_pct, coalesce(anomaly_rate_pct > 20, FALSE) AS triggered FROM ("
         "SELECT CAST(round(sum(anomaly_count) * 100.0 / nullif(sum(total_readings), 0), 1) AS DOUBLE) AS anomaly_rate_pct"

@@ -13,6 +13,7 @@ from plantlake.functions.columns import drop_technical_columns
 from plantlake.operators.layout import create_view, describe_table, materialize, spread_by_range, with_comments
 from plantlake.plans import alerts, gold, silver
 from plantlake.plans.contracts import contract_report
+from plantlake.plans.refresh import refresh_gold_days
 from plantlake.sources.landing import ingest_json
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
 from plantlake.streaming.sinks import append_to_table, counted
@@ -110,8 +111,13 @@ def gold_views(cfg: PipelineConfig) -> dict[str, str]:
     return {"dim_machine_h": gold.dim_machine_h_sql(history), "fact_sensor": gold.fact_sensor_sql(facts, history)}
 
 
-def build_gold(spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None) -> dict[str, DataFrame]:
-    """Refresh the gold tables and views from silver; name -> DataFrame."""
+def build_gold(
+    spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None, touched_days: bool = False
+) -> dict[str, DataFrame]:
+    """Refresh the gold tables and views from silver; name -> DataFrame.
+
+    With ``touched_days`` the two day tables are partitioned by day, and only the days that changed are written.
+    """
     g = cfg.gold_schema
     facts = spark.read.table(f"{cfg.silver_schema}.fact_sensor")
     history = spark.read.table(f"{cfg.silver_schema}.dim_machine_h").drop("bucket")
@@ -124,15 +130,18 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None)
         "Current version of each machine",
         {"quality": "gold"},
     )
+    tables["fact_sensor"] = create_view(
+        spark, f"{g}.fact_sensor", views["fact_sensor"], COMMENTS, "Readings with the machine version valid at their instant"
+    )
+    if touched_days:
+        days = refresh_gold_days(spark, cfg, as_of, COMMENTS)
+        return tables | {name: days[name] for name in ("dim_machine_daily", "fact_sensor_agg")}
     tables["dim_machine_daily"] = materialize(
         with_comments(gold.dim_machine_daily(history, as_of, clustered=True), COMMENTS),
         f"{g}.dim_machine_daily",
         comment="Machine attributes in force at the end of each day",
         properties={"quality": "gold"},
     )
-    tables["fact_sensor"] = create_view(
-        spark, f"{g}.fact_sensor", views["fact_sensor"], COMMENTS, "Readings with the machine version valid at their instant"
-    )
     tables["fact_sensor_agg"] = materialize(
         with_comments(gold.fact_sensor_agg(facts, tables["dim_machine_daily"]), COMMENTS),
         f"{g}.fact_sensor_agg",
@@ -152,9 +161,14 @@ class LoadResult:
 
 
 def run_full_load(
-    spark: SparkSession, cfg: PipelineConfig, as_of: gold.Day = None, archive: bool = False, buckets: int = 64
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    as_of: gold.Day = None,
+    archive: bool = False,
+    buckets: int = 64,
+    touched_days: bool = False,
 ) -> LoadResult:
-    """One load: drain the landing folder, then bring every table up to date."""
+    """One load: drain the landing folder, then bring every table up to date (see `build_gold` for ``touched_days``)."""
     cfg.create_schemas(spark)
 
     def load_sensors() -> dict[str, int]:
@@ -170,6 +184,6 @@ def run_full_load(
         sensors, machines = pool.submit(load_sensors), pool.submit(load_machines)
         machines.result()
         counts = sensors.result()
-    tables = build_gold(spark, cfg, as_of)
+    tables = build_gold(spark, cfg, as_of, touched_days)
     alert = alerts.alert_anomaly_rate(tables["fact_sensor_agg"], as_of)
     return LoadResult(tables, alert, counts, contract_report(tables))

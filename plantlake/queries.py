@@ -15,6 +15,7 @@ from plantlake.functions.columns import drop_technical_columns
 from plantlake.operators import quality, scd2
 from plantlake.operators.layout import cluster_rows, create_view, materialize
 from plantlake.plans import alerts, contracts, full_load, gold, silver, synth
+from plantlake.plans.refresh import refresh_gold_days
 from plantlake.session import configure, scratch_path, write_through
 from plantlake.sources.feeds import machine_feed, order_feed, sensor_feed
 from plantlake.sources.files import JSON_TIMESTAMP, read_table_file, write_json_lines
@@ -214,6 +215,35 @@ def materialize_gold(spark, sf_dir):
     return materialize(agg, f"{cfg.gold_schema}.fact_sensor_agg", ["machine_date", "machine_id"])
 
 
+LATE_READINGS = "CAST(machine_timestamp AS DATE) IN (DATE '2024-01-10', DATE '2024-01-20') AND reading_id % 3 = 0"
+LATE_CHANGES = "machine_id % 50 = 0 AND machine_timestamp >= TIMESTAMP '2024-01-25 00:00:00'"
+
+
+@query
+def gold_refresh(spark, sf_dir):
+    """Two loads, of which the second touches few days; ``renewed`` tells whether its refresh wrote the row's file."""
+    cfg = _config(spark)
+    cfg.create_schemas(spark)
+    facts = _facts(spark, sf_dir).drop("_loading_ts")
+    changes = machine_feed(spark, sf_dir).withColumnRenamed("timestamp", "machine_timestamp")
+    files = None
+    for late, loaded in ((False, "2024-02-05 01:00:00"), (True, "2024-02-05 02:00:00")):
+        at = F.lit(loaded).cast("timestamp").alias("_loading_ts")
+        new = [df.filter(F.expr(rule) == late) for df, rule in ((facts, LATE_READINGS), (changes, LATE_CHANGES))]
+        new[0].select("*", at).write.mode("append").saveAsTable(f"{cfg.silver_schema}.fact_sensor")
+        new[1].withColumnRenamed("machine_timestamp", "timestamp").select("*", at).write.mode("append").saveAsTable(
+            f"{cfg.bronze_schema}.{MACHINE_METADATA.table_name}"
+        )
+        history = silver.dim_machine_h(spark.read.table(f"{cfg.bronze_schema}.{MACHINE_METADATA.table_name}"))
+        materialize(history, f"{cfg.silver_schema}.dim_machine_h")
+        before = files
+        agg = refresh_gold_days(spark, cfg, DAILY_AS_OF)["fact_sensor_agg"]
+        files = [("/".join(f.rsplit("/", 2)[1:]),) for f in agg.inputFiles()]
+    known = F.broadcast(spark.createDataFrame(before, "file string")).withColumn("kept", F.lit(True))  # one row per day file
+    located = agg.select("*", F.substring_index("_metadata.file_path", "/", -2).alias("file")).join(known, "file", "left")
+    return located.select(*agg.columns, F.col("kept").isNull().alias("renewed")).withColumn("machine_sk", F.col("machine_sk").cast("string"))
+
+
 @query
 def alert_anomaly_rate(spark, sf_dir):
     return alerts.alert_anomaly_rate(fact_sensor_agg(spark, sf_dir), ALERT_AS_OF)
@@ -385,10 +415,11 @@ def load_table_file(spark, sf_dir):
 
 @query
 def full_load_agg(spark, sf_dir):
-    """Both feeds as landing files, through every layer to the daily aggregate, less its hashed key."""
+    """Both feeds as landing files, through every layer to the daily aggregate; its hashed key as text."""
     cfg = _config(spark)
     _land(spark, sf_dir, cfg)
-    return full_load.run_full_load(spark, cfg, DAILY_AS_OF, buckets=8).tables["fact_sensor_agg"].drop("machine_sk")
+    agg = full_load.run_full_load(spark, cfg, DAILY_AS_OF, buckets=8).tables["fact_sensor_agg"]
+    return agg.withColumn("machine_sk", F.col("machine_sk").cast("string"))
 
 
 # --- synthetic tables: one generated row per row of a given table -----------------------
