@@ -49,10 +49,10 @@ def _location(spark: SparkSession, database: str) -> str:
     return rows.first()["info_value"].rstrip("/")
 
 
-def table_location(spark: SparkSession, name: str) -> str:
-    """A folder of its own for a table whose partitions are replaced one by one."""
+def table_location(spark: SparkSession, name: str, of: str) -> str:
+    """A folder of its own for a table whose partitions are written one by one; ``of`` says what they are."""
     database, _, table = name.rpartition(".")
-    return f"{_location(spark, database or spark.catalog.currentDatabase())}/{table}.days"
+    return f"{_location(spark, database or spark.catalog.currentDatabase())}/{table}.{of}"
 
 
 def declared_columns(df: DataFrame, columns: Sequence[str]) -> str:

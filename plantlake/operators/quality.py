@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Rules = Mapping[str, str]
@@ -20,7 +20,7 @@ def keep_valid(df: DataFrame, rules: Rules) -> DataFrame:
     return df.filter(reduce(Column.__and__, [F.expr(rule) for rule in rules.values()]))
 
 
-def observe_rules(df: DataFrame, rules: Rules, name: str = "dq") -> DataFrame:
+def observe_rules(df: DataFrame, rules: Rules, name: str | Observation = "dq") -> DataFrame:
     """Count rows and passes per rule while the data flows by; place it before `keep_valid`.
 
     The counts appear in ``StreamingQuery.lastProgress["observedMetrics"]``, or in the

@@ -41,7 +41,6 @@ def apply_scd2(
     keys: Sequence[str],
     sequence_by: str,
     tie_break: Sequence[str] = (),
-    chunk_unit: str = "hour",
 ) -> DataFrame:
     """Versions with ``[__START_AT, __END_AT)``; the current version has a NULL end.
 
@@ -50,7 +49,7 @@ def apply_scd2(
     """
     clean = one_per_sequence(applicable(changes, keys, sequence_by), keys, sequence_by, tie_break)
     started = clean.withColumn(START, F.col(sequence_by))
-    return with_next(started, keys, START, END, chunk_unit)
+    return with_next(started, keys, START, END)
 
 
 def hashed_key(df: DataFrame, columns: Sequence[str]) -> Column:

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.config import MACHINE_METADATA, SENSOR_DATA, IngestSpec, PipelineConfig
-from plantlake.functions.columns import drop_technical_columns
-from plantlake.operators.layout import create_view, describe_table, materialize, spread_by_range, with_comments
+from plantlake.operators.layout import create_view, describe_table, materialize, with_comments
 from plantlake.plans import alerts, gold, silver
 from plantlake.plans.contracts import contract_report
 from plantlake.plans.refresh import refresh_gold_days
 from plantlake.sources.landing import ingest_json
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
-from plantlake.streaming.sinks import append_to_table, counted
+from plantlake.streaming.sinks import append_counted, append_to_table
 
 COMMENTS = {
     "machine_sk": "Surrogate key of a machine version",
@@ -59,29 +58,24 @@ def _stream(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
     return reader.table(f"{cfg.bronze_schema}.{table}")
 
 
-def load_fact_sensor(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
-    """Append the valid readings among the new bronze rows; rule counts are in its observed metrics.
+def load_fact_sensor(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """Append the valid readings among the new bronze rows; returns the sums of their rule counts.
 
-    The clustering shuffle comes first: range bounds are sampled by an extra run of what
-    lies below it, which must not include the counting of rows.
+    The counts of each micro-batch are stored under its number, together with its rows (see `append_counted`).
     """
-    bronze = drop_technical_columns(_stream(spark, cfg, SENSOR_DATA.table_name))
-    if cfg.cluster_silver:
-        bronze = spread_by_range(bronze, ["machine_id", "timestamp"], row_id=["reading_id"])
-    return append_to_table(
-        silver.fact_sensor(bronze, observe="dq"),
+    return append_counted(
+        silver.sensor_columns(_stream(spark, cfg, SENSOR_DATA.table_name)),
+        silver.SENSOR_RULES,
         f"{cfg.silver_schema}.fact_sensor",
         cfg.checkpoint("silver_fact_sensor"),
-        comment="Cleaned sensor readings with threshold flags",
-        properties={"quality": "silver"},
+        cfg.checkpoint("rule_counts"),
+        ["machine_id", "machine_timestamp"] if cfg.cluster_silver else (),
+        ["reading_id"],
+        "Cleaned sensor readings with threshold flags",
+        {"quality": "silver"},
     )
 
 
-def count_and_load_sensors(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
-    """`load_fact_sensor`, with its rule counts stored by micro-batch; returns their sums."""
-    return counted(spark, "dq", cfg.checkpoint("rule_counts"), lambda: load_fact_sensor(spark, cfg))
-
-
 def history_target(cfg: PipelineConfig, buckets: int = 64) -> HistoryTarget:
     """The stored history; use enough buckets that one of them is a comfortable unit of rewriting."""
     return HistoryTarget(
@@ -173,7 +167,7 @@ def run_full_load(
 
     def load_sensors() -> dict[str, int]:
         load_bronze(spark, cfg, SENSOR_DATA, archive)
-        return count_and_load_sensors(spark, cfg)
+        return load_fact_sensor(spark, cfg)
 
     def load_machines() -> None:
         load_bronze(spark, cfg, MACHINE_METADATA, archive)

@@ -81,7 +81,7 @@ def replace_days(
     Other days keep their files.
     """
     spark, columns = df.sparkSession, [c for c in df.columns if c != DAY]
-    place = table_location(spark, name)
+    place = table_location(spark, name, "days")
     if not spark.catalog.tableExists(name):
         fields = declared_columns(df, [*columns, DAY])
         spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY ({DAY}) LOCATION '{place}'")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import threading
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from plantlake.operators.layout import describe_table, spread_by_range
+from plantlake.operators.layout import describe_table, spread_by_range, table_location
+from plantlake.operators.quality import Rules, keep_valid, observe_rules
 
 
 def append_to_table(
@@ -37,58 +37,61 @@ def append_to_table(
     return query
 
 
-class _Observed(StreamingQueryListener):
-    """Keeps the observed metrics of every micro-batch; a query itself remembers its last ones only."""
+BATCH = "_batch"
 
-    def __init__(self, name: str):
-        self.name, self.batches, self.ended = name, {}, {}
 
-    def onQueryStarted(self, event) -> None:
-        self.ended[str(event.runId)] = threading.Event()
-
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        row = progress.observedMetrics.get(self.name)
-        if row is not None:
-            self.batches.setdefault(str(progress.runId), {})[progress.batchId] = row.asDict()
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        self.ended.setdefault(str(event.runId), threading.Event()).set()
-
-    def of(self, query: StreamingQuery) -> dict[int, dict[str, int]]:
-        """Counts by micro-batch of a finished query, once all its events have arrived."""
-        run = str(query.runId)
-        if not self.ended.setdefault(run, threading.Event()).wait(60):
-            raise TimeoutError("the last progress of the query has not been reported")
-        return self.batches.get(run, {})
+def append_counted(
+    stream: DataFrame,
+    rules: Rules,
+    name: str,
+    checkpoint: str,
+    counts_path: str,
+    cluster_by: Sequence[str] = (),
+    row_id: Sequence[str] = (),
+    comment: str = "",
+    properties: Mapping[str, str] | None = None,
+) -> dict[str, int]:
+    """Append the rows of all unseen input that pass every rule to table ``name``; returns the sums of the rule counts.
+
+    Rows and counts of a micro-batch are published under its number: the rows as a partition of the table, the counts as a
+    partition below ``counts_path`` (see `rule_history`). The counts are observed while the rows are written, without
+    another pass. First the rows are written, then the counts, and then the table gets its partition. Each step replaces
+    what an earlier attempt left, so a run that ends anywhere in between shows nothing half done, and its batch, which the
+    next run gets again under the same number, counts once.
+    """
+    spark, totals = stream.sparkSession, {}
+    place = table_location(spark, name, "batches")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BATCH} bigint) USING parquet PARTITIONED BY ({BATCH}) LOCATION '{place}'"
+    )
+    describe_table(spark, name, comment, properties)
+
+    def publish(batch: DataFrame, number: int) -> None:
+        # Range bounds are sampled by an extra run of what lies below them, so counting comes after the shuffle.
+        laid_out = spread_by_range(batch, cluster_by, row_id=row_id) if cluster_by else batch
+        seen = Observation()
+        kept = keep_valid(observe_rules(laid_out, rules, seen), rules)
+        kept.write.mode("overwrite").parquet(f"{place}/{BATCH}={number}")
+        write_counts(batch.sparkSession, seen.get, f"{counts_path}/batch={number}")
+        batch.sparkSession.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({BATCH} = {number})")
+        for rule, count in seen.get.items():
+            totals[rule] = totals.get(rule, 0) + count
 
+    query = (
+        stream.writeStream.foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    spark.catalog.refreshTable(name)
+    return totals
 
-def counted(spark: SparkSession, name: str, counts_path: str, start: Callable[[], StreamingQuery]) -> dict[str, int]:
-    """Run a draining query and return the sums of the metrics observed under ``name``.
 
-    The counts of each micro-batch are stored below ``counts_path`` under the number of the batch, so that
-    `rule_history` has all loads so far.
-    """
-    listener = _Observed(name)
-    spark.streams.addListener(listener)
-    try:
-        batches = listener.of(start())
-    finally:
-        spark.streams.removeListener(listener)
-    totals: dict[str, int] = {}
-    rows = []
-    for batch, counts in batches.items():
-        for metric, count in counts.items():
-            totals[metric] = totals.get(metric, 0) + count
-            rows.append((metric, count, batch))
-    if rows:
-        stored = spark.createDataFrame(rows, "rule string, passed long, batch long").coalesce(1)
-        # Only the partitions of these batches are replaced.
-        stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(counts_path)
-    return totals
+def write_counts(spark: SparkSession, counts: Mapping[str, int], place: str) -> None:
+    rows = spark.createDataFrame(list(counts.items()), "rule string, passed long")
+    rows.coalesce(1).write.mode("overwrite").parquet(place)
 
 
 def rule_history(spark: SparkSession, counts_path: str) -> DataFrame:

@@ -19,8 +19,38 @@ def skewed(spark, n=600, seed=3):
 def test_with_next_equals_lead(spark, rows):
     df = skewed(spark)
     plain = df.withColumn("nxt", F.lead("seq").over(Window.partitionBy("key").orderBy("seq")))
-    for unit in ("hour", "day", "year"):
-        assert rows(with_next(df, ["key"], "seq", "nxt", unit)) == rows(plain)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for partitions, batch, coalesced in ((1, 10_000, "true"), (7, 1, "false"), (7, 3, "false"), (40, 10_000, "false"), (900, 10_000, "true")):
+            for k, v in zip(before, (partitions, batch, coalesced), strict=True):
+                spark.conf.set(k, str(v))
+            assert rows(with_next(df, ["key"], "seq", "nxt")) == rows(plain)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_with_next_of_several_keys_and_of_nothing(spark, rows):
+    df = spark.range(200).selectExpr("id % 3 AS a", "cast(id % 2 AS string) AS b", "id * 7 % 200 AS seq", "array(id) AS other")
+    plain = df.withColumn("nxt", F.lead("seq").over(Window.partitionBy("a", "b").orderBy("seq")))
+    assert rows(with_next(df, ["a", "b"], "seq", "nxt")) == rows(plain)
+    assert with_next(df.filter("false"), ["a", "b"], "seq", "nxt").count() == 0
+
+
+def test_with_next_reads_its_input_once(spark, tmp_path):
+    skewed(spark).write.parquet(str(tmp_path / "feed"))
+    read = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.read.parquet(str(tmp_path / "feed"))
+    # The aggregate shuffles what was read, as in a history; sampling and sorting start from there.
+    once = df.mapInArrow(passing, df.schema).groupBy("key", "seq").agg(F.count("*").alias("n"))
+    with_next(once, ["key"], "seq", "nxt").collect()
+    assert read.value == df.count()
 
 
 def test_with_next_on_numbers(spark, rows):
