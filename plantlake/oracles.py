@@ -243,13 +243,27 @@ _FILES = {
     "bronze_rescue": _with(
         """SELECT CASE WHEN kind <> 2 THEN CAST(reading_id AS VARCHAR) END AS reading_id,
   CASE WHEN kind NOT IN (1, 2) THEN CAST(machine_id AS VARCHAR) END AS machine_id,
+  CASE WHEN kind > 2 THEN "timestamp" END AS "timestamp",
   CASE WHEN kind > 2 THEN temperature END AS temperature,
   CASE WHEN kind NOT IN (1, 2) THEN pressure END AS pressure,
+  CASE WHEN kind > 3 THEN vibration END AS vibration,
+  CASE WHEN kind > 2 THEN power_consumption END AS power_consumption,
+  CASE WHEN kind > 2 THEN error_code END AS error_code,
   CASE WHEN kind > 2 THEN is_anomaly END AS is_anomaly,
   CASE kind WHEN 0 THEN '{"temperature":"hot"}'
-            WHEN 1 THEN '{"firmware":"v2","site":"{\\"of\\":' || machine_id || '}"}'
-            WHEN 2 THEN '{"reading_id": ' || reading_id || ', "temp' END AS _rescued
-FROM (SELECT *, reading_id % 5 AS kind FROM fx_sensor)""",
+            WHEN 1 THEN '{"firmware":"v2","site":{"of":' || machine_id || '}}'
+            WHEN 2 THEN '{"reading_id": ' || reading_id || ', "temp'
+            WHEN 3 THEN '{"vibration":{"is":[1,2.5],"of":' || machine_id || '}}' END AS _rescued
+FROM (SELECT *, reading_id % 6 AS kind FROM fx_sensor)""",
+        "B",
+        "SENSOR",
+    ),
+    "bronze_evolution": _with(
+        f"""SELECT {_LANDED.replace("*", "* EXCLUDE (part)")}, CASE WHEN part > 0 THEN 'v' || reading_id % 4 END AS firmware,
+  CASE WHEN part > 0 AND reading_id % 5 > 0 THEN reading_id * 3 END AS cycles,
+  CASE WHEN part > 0 THEN CASE WHEN reading_id % 2 = 0 THEN 0.5::DOUBLE ELSE 2.25::DOUBLE END END AS load,
+  CASE WHEN part > 0 THEN '{{' || CASE WHEN reading_id % 1000 = 7 THEN '"rare":"x",' ELSE '' END || '"site":{{"of":' || machine_id || '}}}}' END AS _rescued
+FROM (SELECT *, reading_id % 3 AS part FROM fx_sensor)""",
         "B",
         "SENSOR",
     ),

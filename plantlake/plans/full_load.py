@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.config import MACHINE_METADATA, SENSOR_DATA, IngestSpec, PipelineConfig
@@ -14,6 +15,7 @@ from plantlake.plans import alerts, gold, silver
 from plantlake.plans.contracts import contract_report
 from plantlake.plans.refresh import refresh_gold_days
 from plantlake.sources.landing import ingest_json
+from plantlake.sources.schema_memory import SchemaMemory, add_columns, promoted
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
 from plantlake.streaming.sinks import append_counted, append_to_table
 
@@ -33,21 +35,43 @@ COMMENTS = {
 }
 
 
-def load_bronze(spark: SparkSession, cfg: PipelineConfig, spec: IngestSpec, archive: bool = False) -> StreamingQuery:
+def schema_memory(cfg: PipelineConfig, spec: IngestSpec) -> SchemaMemory:
+    return SchemaMemory(f"{cfg.metadata_base}/schemas/{spec.source_path}")
+
+
+def load_bronze(
+    spark: SparkSession, cfg: PipelineConfig, spec: IngestSpec, archive: bool = False, evolve: bool = False
+) -> StreamingQuery:
     """Append the new landing files of one feed.
 
     One micro-batch has one ``_loading_ts``, so appended files follow that clustering key
     without a shuffle. ``cfg.cluster_bronze`` range-partitions by the remaining keys as well,
     at the price of parsing the lines twice (once for sampling) and shuffling them.
+    With ``evolve`` the feed's schema memory adds columns for new keys (read the table with `read_bronze`).
     """
-    return append_to_table(
-        ingest_json(spark, spec, cfg.machine_uploads_base, archive, cfg.max_files_per_trigger),
-        f"{cfg.bronze_schema}.{spec.table_name}",
+    name, memory = f"{cfg.bronze_schema}.{spec.table_name}", schema_memory(cfg, spec)
+    learnt = memory.learnt(spark) if evolve else []
+    add_columns(spark, name, learnt)
+    known = spark.read.table(name).agg(F.max("_loading_ts")).first()[0] if evolve and spark.catalog.tableExists(name) else None
+    query = append_to_table(
+        ingest_json(spark, spec, cfg.machine_uploads_base, archive, cfg.max_files_per_trigger, learnt=learnt),
+        name,
         cfg.checkpoint(f"bronze_{spec.table_name}"),
         spec.cluster_by if cfg.cluster_bronze else (),
         spec.comment,
         {"quality": "bronze"},
     )
+    if evolve:
+        loaded = spark.read.table(name)
+        new = loaded if known is None else loaded.filter(F.col("_loading_ts") > F.lit(known))
+        add_columns(spark, name, memory.learn(new))
+    return query
+
+
+def read_bronze(spark: SparkSession, cfg: PipelineConfig, spec: IngestSpec) -> DataFrame:
+    """A bronze table with the columns its feed has taught, old rows included."""
+    learnt = schema_memory(cfg, spec).learnt(spark)
+    return promoted(spark.read.table(f"{cfg.bronze_schema}.{spec.table_name}"), learnt)
 
 
 def _stream(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:

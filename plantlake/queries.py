@@ -19,7 +19,7 @@ from plantlake.plans.refresh import refresh_gold_days
 from plantlake.session import configure, scratch_path, write_through
 from plantlake.sources.feeds import machine_feed, order_feed, sensor_feed
 from plantlake.sources.files import JSON_TIMESTAMP, read_table_file, write_json_lines
-from plantlake.sources.landing import RESCUED, ingest_json
+from plantlake.sources.landing import LINEAGE, RESCUED, ingest_json
 from plantlake.streaming.scd2_stream import HistoryTarget, stream_history
 from plantlake.streaming.sinks import append_to_table, rule_history
 
@@ -319,29 +319,50 @@ def bronze_lineage(spark, sf_dir):
 
 @query
 def bronze_rescue(spark, sf_dir):
-    """Readings of which some are damaged: a wrong type, an undeclared key, a broken line."""
+    """Readings of which some are damaged: a wrong type, a nested value, an undeclared key, a broken line."""
     cfg = _config(spark)
     cfg.create_schemas(spark)
     feed = sensor_feed(spark, sf_dir)
     options = {"ignoreNullFields": "false", "timestampFormat": JSON_TIMESTAMP}
-    kind = F.pmod(F.col("reading_id"), F.lit(5))
+    kind = F.pmod(F.col("reading_id"), F.lit(6))
     good = F.struct(*feed.columns)
     wrong = F.struct("reading_id", "machine_id", F.lit("hot").alias("temperature"), "pressure")
+    nested = F.struct(*[c for c in feed.columns if c != "vibration"], F.struct(F.col("machine_id").alias("of"), F.array(F.lit(1), F.lit(2.5)).alias("is")).alias("vibration"))
     extra = F.struct("reading_id", F.lit("v2").alias("firmware"), F.struct(F.col("machine_id").alias("of")).alias("site"))
     broken = F.concat(F.lit('{"reading_id": '), F.col("reading_id").cast("string"), F.lit(', "temp'))
     lines = feed.select(
         F.when(kind == 0, F.to_json(wrong, options))
         .when(kind == 1, F.to_json(extra, options))
         .when(kind == 2, broken)
+        .when(kind == 3, F.to_json(nested, options))
         .otherwise(F.to_json(good, options))
         .alias("value")
     )
     lines.write.text(f"{cfg.machine_uploads_base}/{SENSOR_DATA.source_path}")
     bronze = ingest_json(spark, SENSOR_DATA, cfg.machine_uploads_base, glob="*.txt")
     append_to_table(bronze, f"{cfg.bronze_schema}.sensor_data", cfg.checkpoint("rescue"))
-    return spark.read.table(f"{cfg.bronze_schema}.sensor_data").select(
-        "reading_id", "machine_id", "temperature", "pressure", "is_anomaly", RESCUED
-    )
+    return spark.read.table(f"{cfg.bronze_schema}.sensor_data").select(*SENSOR_DATA.schema.names, RESCUED)
+
+
+@query
+def bronze_evolution(spark, sf_dir):
+    """Two deliveries, of which the second has new keys, and a third after they were learnt; one new key is nested, one rare."""
+    cfg = _config(spark)
+    cfg.create_schemas(spark)
+    feed = sensor_feed(spark, sf_dir)
+    part = F.pmod(F.col("reading_id"), F.lit(3))
+    new = {
+        "firmware": F.concat(F.lit("v"), F.col("reading_id") % 4),
+        "cycles": F.when(F.col("reading_id") % 5 > 0, F.col("reading_id") * 3),
+        "load": F.when(F.col("reading_id") % 2 == 0, F.lit(0.5)).otherwise(F.lit(2.25)),
+        "site": F.struct(F.col("machine_id").alias("of")),
+        "rare": F.when(F.col("reading_id") % 1000 == 7, F.lit("x")),
+    }
+    for delivery in range(3):
+        rows = feed.filter(part == delivery)
+        write_json_lines({"sensor_data": rows.withColumns(new) if delivery else rows}, cfg.machine_uploads_base)
+        full_load.load_bronze(spark, cfg, SENSOR_DATA, evolve=True)
+    return full_load.read_bronze(spark, cfg, SENSOR_DATA).drop(*LINEAGE)
 
 
 @query

@@ -18,7 +18,8 @@ def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value") ->
     """Parse JSON text into the declared columns plus ``_rescued``; other columns pass through.
 
     A value that does not fit its declared type becomes NULL, and it is kept, with every
-    undeclared key, as JSON in ``_rescued``. A line that is not a JSON object is kept whole.
+    undeclared key, as JSON in ``_rescued``: nested values, numbers and booleans stay what they were, keys are in
+    order. A line that is not a JSON object, or that names a key twice, is kept whole.
     ``_rescued`` is NULL when nothing was lost. JSON nulls and missing keys lose nothing.
     """
     others = [c for c in lines.columns if c != value]
@@ -35,17 +36,22 @@ def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value") ->
     return parsed.select(*[F.col("_row").getField(c).alias(c) for c in declared], rescued.alias(RESCUED), *others)
 
 
+def variants(json: Column) -> Column:
+    """The members of a JSON object as variants by key; NULL for anything else."""
+    return F.try_parse_json(json).try_cast("map<string,variant>")
+
+
 def _rescued(line: Column, row: Column, declared: Sequence[str], bad: str) -> Column:
-    # The second, untyped parse runs only for lines with a misfit or an undeclared key.
+    # The second parse, into variants, runs only for lines with a misfit or an undeclared key.
     keys = F.json_object_keys(line)
     known = F.array(*[F.lit(c) for c in declared])
     intact = row.getField(bad).isNull() & keys.isNotNull() & (F.size(F.array_except(keys, known)) == 0)
 
-    raw = F.from_json(line, T.MapType(T.StringType(), T.StringType()))
+    raw = variants(line)
     lost_names = F.array_compact(F.array(*[F.when(row.getField(c).isNull(), F.lit(c)) for c in declared]))
     left = F.map_filter(
         raw,
-        lambda k, v: v.isNotNull() & (~F.array_contains(known, k) | F.array_contains(lost_names, k)),
+        lambda k, v: ~F.is_variant_null(v) & (~F.array_contains(known, k) | F.array_contains(lost_names, k)),
     )
     return (
         F.when(intact, F.lit(None).cast("string"))
@@ -75,9 +81,12 @@ def ingest_json(
     archive: bool = False,
     max_files_per_trigger: int | None = None,
     glob: str = "*.json",
+    learnt: Sequence[T.StructField] = (),
 ) -> DataFrame:
     """Streaming DataFrame over all files of ``<base>/<source_path>``, each read once; ``glob`` picks by name.
 
+    ``learnt`` are columns beyond the declared ones (see `plantlake.sources.schema_memory`); they come last.
+
     Progress lives in the checkpoint of the query that consumes the stream. With ``archive``
     a consumed file moves to ``<base>/_archive/<source_path>`` in a later batch.
     """
@@ -89,4 +98,5 @@ def ingest_json(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = with_lineage(reader.load(f"{base}/{spec.source_path}"))
-    return parse_lines(lines, spec.schema).select(*[f.name for f in spec.schema], RESCUED, *LINEAGE)
+    schema = T.StructType([*spec.schema.fields, *learnt])
+    return parse_lines(lines, schema).select(*spec.schema.names, RESCUED, *LINEAGE, *[f.name for f in learnt])

@@ -34,12 +34,13 @@ def test_missing_keys_and_nulls_lose_nothing(spark):
 
 
 def test_wrong_type_and_unknown_keys_are_rescued(spark):
-    (row,) = parsed(spark, {**GOOD, "temperature": "hot", "is_anomaly": 7, "extra": {"a": [1, 2]}, "none": None})
-    assert (row["temperature"], row["is_anomaly"], row["pressure"]) == (None, None, 1.5)
-    assert json.loads(row["_rescued"]) == {"temperature": "hot", "is_anomaly": "7", "extra": '{"a":[1,2]}'}
+    lost = {"temperature": "hot", "is_anomaly": 7, "vibration": {"x": [True, None]}, "extra": {"a": [1, 2.5]}, "big": 12345678901234567890123}
+    (row,) = parsed(spark, {**GOOD, **lost, "none": None})
+    assert (row["temperature"], row["is_anomaly"], row["vibration"], row["pressure"]) == (None, None, None, 1.5)
+    assert json.loads(row["_rescued"]) == lost
 
 
-@pytest.mark.parametrize("line", ['{"reading_id": "r", "temp', "not json", "[1, 2]", "5"])
+@pytest.mark.parametrize("line", ['{"reading_id": "r", "temp', "not json", "[1, 2]", "5", '{"machine_id": "a", "machine_id": "b", "x": 1}'])
 def test_broken_line_is_kept_whole(spark, line):
     (row,) = parsed(spark, line)
     assert row["reading_id"] is None
