@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +75,55 @@ def with_hashed_key(history: DataFrame, keys: Sequence[str], output: str) -> Dat
 
 
 def with_dense_key(history: DataFrame, keys: Sequence[str], output: str) -> DataFrame:
-    """Keys 1, 2, 3 … in (key, start) order, for one-shot builds: late rows shift the numbers."""
+    """Keys 1, 2, 3 … in (key, start) order, for one-shot builds: late rows shift the numbers (see `KeyMap`)."""
     numbered = dense_number(history, [*keys, START], "_n")
     return numbered.select((F.col("_n") + 1).alias(output), *history.columns)
+
+
+@dataclass(frozen=True)
+class KeyMap:
+    """Numbers of versions that stay what they are: a stored map from (key, start) to number, added to by each load.
+
+    A load hands a block of numbers to the versions it is the first to have, in (key, start) order, after the block of the load
+    before. The entries of a load are written first and its block last; without the block they don't count, so that a
+    load that fails in between is made good by the next one. One load may write at a time.
+    """
+
+    path: str
+    keys: Sequence[str]
+
+    def _blocks(self, spark: SparkSession) -> list:
+        try:
+            return spark.read.schema("load int, first long, size long").parquet(f"{self.path}/blocks").collect()  # one row per load
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
+    def entries(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """The keys, start and ``_number`` of all versions numbered so far; ``schema`` is that of the history."""
+        loads = [b.load for b in self._blocks(spark) if b.size]
+        fields = T.StructType([*[schema[k] for k in self.keys], schema[START], T.StructField("_number", T.LongType())])
+        if not loads:
+            return spark.createDataFrame([], fields)
+        return spark.read.schema(fields).parquet(*[f"{self.path}/entries/load={n}" for n in sorted(loads)])
+
+    def number(self, history: DataFrame, output: str) -> DataFrame:
+        """Number the versions that are new, and return the history with all numbers in ``output``.
+
+        The new versions alone are sorted; the numbers are joined on (key, start), which no hot key can skew.
+        """
+        spark, identity = history.sparkSession, [*self.keys, START]
+        blocks = self._blocks(spark)
+        known = self.entries(spark, history.schema)
+        new = dense_number(history.select(*identity).join(known, identity, "left_anti"), identity, "_n")
+        first = max((b.first + b.size for b in blocks), default=1)
+        load = max((b.load for b in blocks), default=0) + 1
+        place = f"{self.path}/entries/load={load}"
+        new.select(*identity, (F.col("_n") + first).alias("_number")).write.mode("overwrite").parquet(place)
+        size = spark.read.parquet(place).count()
+        if size:
+            block = spark.createDataFrame([(first, size)], "first long, size long")
+            block.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/blocks/load={load}")
+        numbered = self.entries(spark, history.schema)
+        return history.join(numbered, identity).select(F.col("_number").alias(output), *history.columns)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plantlake.plans import contracts, silver, synth
-from plantlake.queries import ALERT_AS_OF, DAILY_AS_OF, LATE_CHANGES, LATE_READINGS, SYNTH_NOW
+from plantlake.queries import ALERT_AS_OF, DAILY_AS_OF, FIRST_ORDERS, LATE_CHANGES, LATE_READINGS, SYNTH_NOW
 
 # --- shared pieces ----------------------------------------------------------------------
 
@@ -192,6 +192,9 @@ _RELATIONAL = {
     "scd2_history_ties": f"WITH {_TIES} SELECT * FROM tied",
     "surrogate_key_dense": f"WITH {_TIES} SELECT row_number() OVER (ORDER BY o_custkey, __START_AT) AS order_sk,"
     " o_custkey, __START_AT, __END_AT FROM tied",
+    "surrogate_key_stable": f"""WITH {_TIES}, early AS (SELECT DISTINCT o_custkey, o_orderdate FROM orders WHERE {FIRST_ORDERS})
+SELECT row_number() OVER (ORDER BY e.o_custkey IS NULL, t.o_custkey, __START_AT) AS order_sk, t.o_custkey, __START_AT, __END_AT
+FROM tied t LEFT JOIN early e ON e.o_custkey = t.o_custkey AND e.o_orderdate = t.o_orderdate""",
     "date_spine": "SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS machine_date"
     " FROM (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events)",
     "dim_machine_h": _history(

@@ -120,6 +120,20 @@ def surrogate_key_dense(spark, sf_dir):
     return scd2.with_dense_key(history, ["o_custkey"], "order_sk").select("order_sk", "o_custkey", scd2.START, scd2.END)
 
 
+FIRST_ORDERS = "o_orderkey % 4 <> 0"
+
+
+@query
+def surrogate_key_stable(spark, sf_dir):
+    """Two loads, of which the second brings late rows; the versions of the first keep their numbers."""
+    feed = order_feed(spark, sf_dir)
+    numbers = scd2.KeyMap(scratch_path(spark, "key_map"), ["o_custkey"])
+    for load in (feed.filter(FIRST_ORDERS), feed):
+        history = write_through(scd2.apply_scd2(load, ["o_custkey"], "o_orderdate", ["o_orderkey"]), "history")
+        numbered = numbers.number(history, "order_sk")
+    return numbered.select("order_sk", "o_custkey", scd2.START, scd2.END)
+
+
 @query
 def scd2_stream(spark, sf_dir):
     """Three loads, each a scattered third of the feed, so that most rows arrive late."""

@@ -167,3 +167,33 @@ def test_a_published_table_follows_a_changed_number_of_buckets(spark, rows):
     fewer.upsert(changes(spark, ("k1", T2, "y")), 1)
     assert rows(fewer.publish(spark, "pub2.h", first.schema)) == rows(fewer.read(spark, first.schema))
     assert spark.table("pub2.h").count() == 13
+
+
+def test_numbers_of_versions_stay_when_late_rows_come(spark, rows, monkeypatch):
+    from plantlake.operators import scd2
+
+    numbers = scd2.KeyMap(scratch_path(spark, "keys"), ["k"])
+
+    def load(*changes):
+        feed = spark.createDataFrame([(k, at(f"2024-01-{d:02d}T00:00:00")) for k, d in changes], "k string, seq timestamp")
+        return {(r.k, r[START].day): r.sk for r in numbers.number(apply_scd2(feed, ["k"], "seq"), "sk").collect()}
+
+    first = load(("b", 5), ("a", 3), ("a", 9))
+    assert first == {("a", 3): 1, ("a", 9): 2, ("b", 5): 3}
+    assert load(("b", 5), ("a", 3), ("a", 9)) == first
+    late = load(("b", 5), ("a", 3), ("a", 9), ("a", 1), ("c", 1), ("a", 4))
+    assert late == {**first, ("a", 1): 4, ("a", 4): 5, ("c", 1): 6}
+
+    # A load that ends before its block is written leaves no numbers behind.
+    with monkeypatch.context() as broken:
+        broken.setattr(spark, "createDataFrame", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            numbers.number(apply_scd2(spark.sql("SELECT 'z' AS k, TIMESTAMP '2024-02-01 00:00:00' AS seq"), ["k"], "seq"), "sk")
+    assert load(("a", 3), ("y", 7)) == {("a", 3): 1, ("y", 7): 7}
+
+
+def test_nothing_to_number(spark):
+    from plantlake.operators import scd2
+
+    empty = apply_scd2(spark.createDataFrame([], "k string, seq timestamp"), ["k"], "seq")
+    assert scd2.KeyMap(scratch_path(spark, "keys"), ["k"]).number(empty, "sk").collect() == []
