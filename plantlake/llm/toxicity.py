@@ -26,6 +26,7 @@ A NULL text counts as empty; texts without matches have the lowest score. Withou
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -53,7 +54,6 @@ REPORTS = frozenset("said says say told called calls claimed wrote quoted report
 THREATS = frozenset("kill hurt destroy beat shoot stab burn punish töten schlagen vernichten tuer frapper détruire matar golpear destruir".split())
 
 _TOKEN = regex.compile(r"[\p{L}\p{N}_'’]+|[.!?;:\n]+|[\"“”«»]")
-_WORD = regex.compile(r"[\p{L}\p{N}_'’]+")
 
 
 def terms(word: str) -> list[str]:
@@ -139,6 +139,49 @@ def context(state: int) -> int:
 PRIOR_FACTORS = [(1.1 if c & 1 else 1.0) * (0.5 if c & 2 else 1.0) * (0.6 if c & 4 else 1.0) for c in range(8)]
 
 
+#: Marks beside the machine's symbols: ends of clauses, those that hold a line end, and words that a pair begins with.
+STOP, LINE, HEAD = 8, 9, 16
+_CUTS = re.compile(bytes((91, STOP, LINE, 93)))
+_WORTH = re.compile(b"[" + re.escape(bytes((INSULT, THREAT))) + bytes((HEAD,)) + b"-" + bytes((2 * HEAD - 1,)) + b"]")
+#: Bytes that a reader may remember words in, about; a memory bound.
+REMEMBERED = 96 << 20
+
+
+class _Read(dict):
+    """Token → symbol, found once per token, ``HEAD`` added where a pair may begin. What is remembered is bounded in bytes."""
+
+    def __init__(self, lexicon: dict[str, float], heads: frozenset[str]):
+        super().__init__()
+        self.lexicon, self.heads, self.weights, self.room = lexicon, heads, {}, REMEMBERED
+
+    def __missing__(self, token: str) -> int:
+        self.room -= 4 * len(token) + 160
+        if self.room < 0:
+            self.clear()
+            self.weights.clear()
+            self.room = REMEMBERED
+        first = token[0]
+        if first in ".!?;:\n":
+            found = LINE if "\n" in token else STOP
+        elif first in "\"“”«»":
+            found = QUOTE
+        elif token in TARGETS:
+            found = TARGET
+        elif token in NEGATIONS:
+            found = NEGATION
+        elif token in REPORTS:
+            found = REPORT
+        else:
+            w = max((self.lexicon.get(t, 0.0) for t in terms(token)), default=0.0)
+            found = THREAT if token in THREATS else INSULT if w else OTHER
+            if w:
+                self.weights[token] = w
+        if token in self.heads:
+            found |= HEAD
+        self[token] = found
+        return found
+
+
 @dataclass
 class ToxicityModel:
     lexicon: dict[str, float] = field(default_factory=dict)
@@ -147,67 +190,60 @@ class ToxicityModel:
     bias: float = -4.0
 
     def __post_init__(self):
-        self.known: dict[str, float] = {}
         self.pairs = {k: w for k, w in self.lexicon.items() if " " in k}
-        self.heads = frozenset(k.split(" ")[0] for k in self.pairs)
+        self.read = _Read(self.lexicon, frozenset(k.split(" ")[0] for k in self.pairs))
 
     def weight(self, word: str) -> float:
-        """Weight of a word, 0 without an entry. Remembered; the memory is bounded."""
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 500_000:
-                self.known.clear()
-            found = max((self.lexicon.get(t, 0.0) for t in terms(word)), default=0.0)
-            self.known[word] = found
-        return found
+        """Weight of a word, 0 without an entry."""
+        return max((self.lexicon.get(t, 0.0) for t in terms(word)), default=0.0)
 
     def matches(self, text: str) -> list[list[tuple[float, int]]]:
-        """For each clause with matches: (weight, context) of each."""
-        lower = text.lower()
-        weight = self.weight
-        if not any(w in self.heads or w in THREATS or weight(w) for w in set(_WORD.findall(lower))):
+        """For each clause with matches: (weight, context) of each.
+
+        Every token is looked up once. Only clauses that hold a match are read by the machines; all that reaches them from
+        earlier ones is whether a quotation is open.
+        """
+        tokens = _TOKEN.findall(text.lower())
+        symbols = bytes(map(self.read.__getitem__, tokens))
+        if not _WORTH.search(symbols):
             return []
-        out, clause, state, last = [], [], 0, ""
-
-        def close() -> None:
-            """Weigh the clause's matches by the state it ends in."""
-            insult = INSULTED.weights[state // _INSULTS % INSULTED.states]
-            threat = THREATENED.weights[state // _THREATS]
-            targeted = context(state) & 1
-            found = []
-            for kind, w, c in clause:
-                if kind == THREAT:
-                    w = max(w, 1.0) if threat == 1.0 else w * threat
-                elif kind == INSULT:
-                    w *= insult
-                if w:
-                    found.append((w, c | targeted))
-            if found:
-                out.append(found)
-
-        for token in _TOKEN.findall(lower):
-            first = token[0]
-            if first in ".!?;:\n":
-                close()
-                quoted = state // _MARKS % REPORTED.states == 2
-                state = 2 * _MARKS if quoted and "\n" not in token else 0
-                clause, last = [], ""
-                continue
-            symbol = (
-                QUOTE if first in "\"“”«»" else TARGET if token in TARGETS else NEGATION if token in NEGATIONS else REPORT if token in REPORTS else OTHER
-            )
-            if symbol == OTHER:
-                w = weight(token)
-                symbol = THREAT if token in THREATS else INSULT if w else OTHER
-                if symbol != OTHER:
-                    clause.append((symbol, w, context(state)))
+        out, quoted, at = [], False, 0
+        for end in [*(m.start() for m in _CUTS.finditer(symbols)), len(symbols)]:
+            clause = symbols[at:end]
+            if _WORTH.search(clause):
+                found = self._clause(tokens[at:end], clause, quoted)
+                if found:
+                    out.append(found)
+            quoted ^= clause.count(QUOTE) & 1 == 1
+            if end < len(symbols) and symbols[end] == LINE:
+                quoted = False
+            at = end + 1
+        return out
+
+    def _clause(self, tokens: list[str], symbols: bytes, quoted: bool) -> list[tuple[float, int]]:
+        """Matches of one clause, weighed by the state it ends in."""
+        state, last, read = 2 * _MARKS if quoted else 0, "", []
+        for token, symbol in zip(tokens, symbols, strict=True):
+            head, symbol = symbol & HEAD, symbol & ~HEAD
+            if symbol in (INSULT, THREAT):
+                read.append((symbol, self.read.weights.get(token) or self.weight(token), context(state)))
             if symbol != QUOTE:
-                if last in self.heads and (w := self.pairs.get(f"{last} {token}", 0.0)):
-                    clause.append((OTHER, w, context(state)))
-                last = token
+                if last and (w := self.pairs.get(f"{last} {token}", 0.0)):
+                    read.append((OTHER, w, context(state)))
+                last = token if head else ""
             state = GRAMMAR.move[state][symbol]
-        close()
-        return out
+        insult = INSULTED.weights[state // _INSULTS % INSULTED.states]
+        threat = THREATENED.weights[state // _THREATS]
+        targeted = context(state) & 1
+        found = []
+        for kind, w, c in read:
+            if kind == THREAT:
+                w = max(w, 1.0) if threat == 1.0 else w * threat
+            elif kind == INSULT:
+                w *= insult
+            if w:
+                found.append((w, c | targeted))
+        return found
 
     def evidence(self, matches: list[list[tuple[float, int]]]) -> float:
         clauses = []
@@ -259,26 +295,35 @@ def fit_toxicity(
     top = entries.orderBy(F.desc("odds"), F.desc("toxic"), "term").limit(ENTRIES).collect()
     model = ToxicityModel({row["term"]: row["odds"] for row in top})
 
-    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
-            counts = np.zeros((8, 2), dtype=np.int64)
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for clause in model.matches(text or ""):
-                    for _, c in clause:
-                        counts[c, int(label)] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(range(8), pa.int32()), pa.array(counts[:, 1]), pa.array(counts[:, 0])], names=["c", "toxic", "clean"])
-
-    for row in training.mapInArrow(seen, "c int, toxic bigint, clean bigint").groupBy("c").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect():
+            found = [model.matches(t or "") for t in batch.column(0).to_pylist()]
+            columns = [[len(c) for c in m] for m in found], [[w for c in m for w, _ in c] for m in found], [[x for c in m for _, x in c] for m in found]
+            types = [pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["label", "sizes", "weights", "contexts"]
+            )
+
+    # Matches are few and small; the factors and the curve are fitted on them, not on the texts.
+    found = stored(training.mapInArrow(matched, "label double, sizes array<int>, weights array<double>, contexts array<int>"), "toxicity-matches")
+    met = found.select("label", F.explode("contexts").alias("c")).groupBy("c")
+    for row in met.agg(F.count_if("label = 1").alias("toxic"), F.count_if("label = 0").alias("clean")).collect():
         c, full = row["c"], 1.1 if row["c"] & 1 else 1.0
         model.factors[c] = (PRIOR * PRIOR_FACTORS[c] + full * row["toxic"]) / (PRIOR + row["toxic"] + row["clean"])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
-            found = [round(model.evidence(model.matches(t or "")), 1) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64()), batch.column(1)], names=["x", "label"])
+        for batch in batches:
+            x = []
+            for sizes, weights, contexts in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                pairs_of, at, clauses = list(zip(weights, contexts, strict=True)), 0, []
+                for n in sizes:
+                    clauses.append(pairs_of[at : at + n])
+                    at += n
+                x.append(round(model.evidence(clauses), 1))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(0)], names=["x", "label"])
 
     # A histogram of the evidence, in tenths: bounded however many texts there are.
-    bins = training.mapInArrow(measured, "x double, label double").groupBy("x", "label").count().collect()
+    bins = found.mapInArrow(measured, "x double, label double").groupBy("x", "label").count().collect()
     model.slope, model.bias = _curve([(r["x"], r["label"], r["count"]) for r in bins])
     return model
 
