@@ -307,7 +307,7 @@ def fit_toxicity(
     # Matches are few and small; the factors and the curve are fitted on them, not on the texts.
     found = stored(training.mapInArrow(matched, "label double, sizes array<int>, weights array<double>, contexts array<int>"), "toxicity-matches")
     met = found.select("label", F.explode("contexts").alias("c")).groupBy("c")
-    for row in met.agg(F.count_if("label = 1").alias("toxic"), F.count_if("label = 0").alias("clean")).collect():
+    for row in met.agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean")).collect():
         c, full = row["c"], 1.1 if row["c"] & 1 else 1.0
         model.factors[c] = (PRIOR * PRIOR_FACTORS[c] + full * row["toxic"]) / (PRIOR + row["toxic"] + row["clean"])
 
