@@ -16,7 +16,8 @@ match's weight is multiplied by the weight of that state and by a factor for its
 reported, and their combinations). A clause scores its best path: its best weighted match plus a share
 of the next one. A text's evidence is its best clause plus a share of the second. The score is a logistic curve over the evidence.
 
-Learning, from labelled rows only: the lexicon from smoothed log-odds of words, beginnings and pairs in toxic and clean texts;
+Learning, from labelled rows only: the lexicon from smoothed log-odds of words, beginnings and pairs in toxic and clean texts, of which
+every one becomes an entry that chance doesn't explain, however rare and however many they are;
 a context's factor from how often matches in it come from toxic texts, with a prior that halves negated and reported matches; the
 curve by maximum likelihood. At most about ``TRAINING_TEXTS`` labelled texts are used, drawn by a hash of their ids.
 
@@ -33,15 +34,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantlake.llm.common import slices, stored
 
 TRAINING_TEXTS = 40_000
-#: Lexicon entries at most, the strongest first, and bounds for one: toxic texts, share of them, log-odds.
-ENTRIES, LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 2000, 3, 0.004, 2.5
+#: Bounds for a lexicon entry: toxic texts that hold it, and log-odds.
+LEAST_TEXTS, LEAST_ODDS = 3, 2.5
 #: Beginnings of words that may be entries, in code points.
 BEGINNINGS = range(4, 9)
 SCOPE = 3
@@ -273,6 +274,12 @@ def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _surprise(toxic: Column, both: Column, share: float) -> Column:
+    """Log-likelihood ratio of a term's toxic share against the share of all texts."""
+    clean = both - toxic
+    return toxic * F.log(toxic / (both * share)) + F.when(clean > 0, clean * F.log(clean / (both * (1 - share)))).otherwise(0.0)
+
+
 def fit_toxicity(
     docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAINING_TEXTS
 ) -> ToxicityModel:
@@ -285,14 +292,18 @@ def fit_toxicity(
     n, ones = training.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < n:
         return ToxicityModel(slope=0.0, bias=math.log((ones + 1) / (n - ones + 1)))
-    least = max(LEAST_TEXTS if ones >= 30 else 2, math.ceil(LEAST_SHARE * ones))
+    least = LEAST_TEXTS if ones >= 30 else 2
     # Only terms of toxic texts can be entries, so those of clean texts are counted for them alone.
     shape = "term string, toxic bigint, clean bigint"
-    toxic = training.filter("label = 1").mapInArrow(_terms_of, shape).groupBy("term").agg(F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= least)
+    toxic = training.filter("label = 1").mapInArrow(_terms_of, shape).groupBy("term").agg(F.sum("toxic").alias("toxic"))
+    toxic = stored(toxic, "toxicity-terms")
+    candidates = toxic.count()
     clean = training.filter("label = 0").mapInArrow(_terms_of, shape).groupBy("term").agg(F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (ones + 1)) - F.log((F.coalesce("clean", F.lit(0)) + 0.5) / (n - ones + 1))
-    entries = toxic.join(clean, "term", "left").select("term", "toxic", odds.alias("odds")).filter(F.col("odds") >= LEAST_ODDS)
-    top = entries.orderBy(F.desc("odds"), F.desc("toxic"), "term").limit(ENTRIES).collect()
+    entries = toxic.filter(F.col("toxic") >= least).join(clean, "term", "left").select("term", "toxic", F.coalesce("clean", F.lit(0)).alias("clean"), odds.alias("odds"))
+    # As many terms are tried as toxic texts hold, so chance must explain an entry less often than once among them all.
+    surprise = _surprise(F.col("toxic"), F.col("toxic") + F.col("clean"), ones / n)
+    top = entries.filter((F.col("odds") >= LEAST_ODDS) & (surprise >= math.log(candidates))).select("term", "odds").collect()
     model = ToxicityModel({row["term"]: row["odds"] for row in top})
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
