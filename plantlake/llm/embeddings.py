@@ -17,7 +17,7 @@ spreads like sqrt(2 - 2c) * sqrt(2 / size). ``reach`` is ``SPREADS`` = 3.5 times
 directions must fail for a miss: of 480,000 random pairs at the threshold the worst needed 2.0 spreads, 99.9 % needed 1.4.
 
 NULL, zero, ragged or non-finite vectors, and rows with a NULL label or id, link with nothing; rows are never dropped.
-Rows that share an id are separate rows.
+Rows that share an id are separate rows. Labels may be of any type; other columns, whatever their names, don't matter.
 """
 
 from __future__ import annotations
@@ -182,7 +182,10 @@ def similar_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD
 ) -> DataFrame:
     """id, n_links (other rows linked directly) and component_id (smallest id reachable, itself included)."""
-    narrow = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
+    label = F.col(label_col)
+    if not isinstance(vectors.schema[label_col].dataType, T.IntegralType):  # other labels are told apart by 64 bits
+        label = F.when(label.isNotNull(), F.xxhash64(label))
+    narrow = vectors.select(F.col(id_col).alias("id"), label.alias("label"), F.col(vector_col).alias("vector"))
     schema = T.StructType(
         [narrow.schema["id"], narrow.schema["label"], T.StructField("cls", T.LongType()), T.StructField("raw", T.BinaryType())]
     )

@@ -135,7 +135,10 @@ def random_spans(text: Column, base: Column, ratios: list[float]) -> Column:
 
 
 def with_secrets(docs: DataFrame, ratios: list[float], text_col: str = "text") -> DataFrame:
-    """Adds ``base`` and ``spans``, sorted arrays of (start, kind, end), and the number of base spans of each kind."""
+    """Adds ``base`` and ``spans``, sorted arrays of (start, kind, end), and the number of base spans of each kind.
+
+    Columns of these names (base, spans, n_assign, n_access, n_hex) are replaced; keep others under other names, or packed.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     assign, access, hexes = pattern_spans(text)
     found = docs.withColumns({"__assign": assign, "__access": access, "__hex": hexes})

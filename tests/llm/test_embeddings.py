@@ -94,3 +94,9 @@ def test_crowded_caps_are_cut_into_blocks(llm, monkeypatch):
     rows = [(k, (centre + rng.standard_normal(16) * 0.1 * rng.random()).astype(np.float32).tolist(), 1, "x") for k in range(90)]
     rows += [(200 + k, rows[k][1], 1, "x") for k in range(20)]
     assert sorted(map(tuple, similar_vectors(llm.createDataFrame(rows, SCHEMA)).collect())) == brute(rows)
+
+
+def test_labels_may_be_texts_and_other_columns_may_have_any_name(llm):
+    rows = planted(16, groups=5)
+    docs = llm.createDataFrame([(i, v, f"label {k}", 1, 2, "r") for i, v, k, _ in rows], "vec_id bigint, embedding array<float>, label string, id int, key int, raw string")
+    assert sorted(map(tuple, similar_vectors(docs).collect())) == brute(rows)

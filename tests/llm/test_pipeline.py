@@ -7,11 +7,14 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from plantlake.llm.common import stored
 from plantlake.llm.quality import STATISTICS
 from tests.llm.conftest import prose
 
+CLASHING = ["mark", "spans", "base", "n_assign", "upper", "digit", "label", "size", "taken", "id", "cls", "key", "text_hash", "n", "target", "token_ids"]
 SECRET = "password=hunter2hunter2"
 
 
@@ -36,6 +39,9 @@ def corpus(llm, tmp_path_factory):
     rows.append((1011, None, "de", None, None))
     folder = str(tmp_path_factory.mktemp("corpus"))
     docs = llm.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    # Columns of the user's that are named like columns of the stages and operators.
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id")))
     docs.write.parquet(f"{folder}/documents.parquet")
     llm.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder, {r[0]: r for r in rows}
@@ -108,4 +114,17 @@ def test_repeated_rows_and_ids(llm):
 
 
 def test_the_statistics_of_the_stage_do_not_leak(llm, corpus, results):
-    assert not set(STATISTICS) & set(results["quality"][0].asDict())
+    assert not (set(STATISTICS) - set(CLASHING)) & set(results["quality"][0].asDict())
+
+
+def test_columns_of_the_user_keep_their_values(results):
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        for r in results[name]:
+            assert all(r[c] == f"{c} of {r['doc_id']}" for c in CLASHING), name
+
+
+def test_without_labels_of_both_kinds_all_documents_stay(llm, corpus, tmp_path):
+    docs = llm.read.parquet(f"{corpus[0]}/documents.parquet")
+    for name, rows in (("none", []), ("one", [(1, 1, 0), (2, 1, 0)])):
+        llm.createDataFrame(rows, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.quality_stage(llm, docs, f"{tmp_path}/{name}").count() == docs.count()
