@@ -22,6 +22,7 @@ import hashlib
 import heapq
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, PAIRS = 1, 2
 MARK = "▁"
 
-#: Words whose pieces a worker remembers; a memory bound.
-REMEMBERED = 400_000
+#: Bytes, about, that the words a worker remembers may take, and bytes of texts that are encoded together; memory bounds.
+REMEMBERED, PIECE = 64 << 20, 2 << 20
 #: Words that advance together.
 TOGETHER = 8192
 _BASE = 0x9E3779B97F4A7C15
@@ -163,11 +164,13 @@ class PieceModel:
 
     def _forget(self) -> None:
         self.words.clear()
+        self.held = 0
         self.start, self.size, self.store = (np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int32))
 
     def _remember(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Append the pieces of new words; ``sizes`` has how many each has."""
         first = len(self.start)
+        self.held += sum(map(len, words)) * 4 + 180 * len(words)
         self.words.update(zip(words, range(first, first + len(words)), strict=True))
         self.start = np.concatenate((self.start, len(self.store) + np.cumsum(sizes) - sizes))
         self.size = np.concatenate((self.size, sizes))
@@ -384,17 +387,18 @@ class PieceModel:
         """Ids of all texts one after the other, and the number of each text."""
         split = [self.split(t) for t in texts]
         missing = {w for words in split for w in words if w not in self.words}
-        if len(self.words) + len(missing) > REMEMBERED:
+        if self.held > REMEMBERED:
             self._forget()
             missing = {w for words in split for w in words}
         self._encode_words(list(missing))
-        found = self.words.__getitem__
-        at = np.array([i for words in split for i in map(found, words)], dtype=np.int64)
+        last = np.cumsum([len(words) for words in split])
+        found = map(self.words.__getitem__, chain.from_iterable(split))
+        at = np.fromiter(found, dtype=np.int32, count=int(last[-1]) if len(last) else 0)
+        del split, missing
         sizes = self.size[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.store[np.arange(total) + np.repeat(self.start[at] - (ends - sizes), sizes)]
-        last = np.cumsum([len(words) for words in split])
         upto = np.concatenate(([0], ends))[last] if len(texts) else np.zeros(0, dtype=np.int64)
         return ids, np.diff(upto, prepend=0).astype(np.int64)
 
@@ -441,7 +445,7 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(model_path)
-        for batch in slices(batches, 1, 6 << 20):
+        for batch in slices(batches, 1, PIECE):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids, counts = model.encode(texts)
             decoded = model.decode(ids, counts)
