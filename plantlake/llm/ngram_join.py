@@ -6,10 +6,11 @@ its words; a text without words (or NULL) has none and links with nothing.
 1. Every text gives a hash of its shingle set and MinHash bands. Texts with one set form a class, and classes are compared.
 2. Classes that share a band meet in a bucket. Buckets with one class go; of buckets with the same classes one stays.
    A pair at similarity 0.8 misses all bands with probability 4e-7, a pair at 0.9 with 1e-13.
-3. A bucket is cut into blocks of bounded size, and each pair of blocks is a unit of work. In it, MinHash values are compared 16 at a time.
+3. A bucket is cut into blocks of bounded size, and each pair of blocks is a unit of work. A group of near copies meets in many buckets that
+   differ by a few members: its pairs are compared in the largest bucket of both, their main one, and not again elsewhere. In a unit, MinHash values are compared 16 at a time.
    With m of h values alike and a uniform prior, the chance that the similarity reaches the threshold is a binomial tail; a pair
    below the tolerance is dropped, the others are verified exactly on their shingles. A pair that meets in several buckets
-   counts in the least one.
+   counts once, in its common main bucket or else in the least one.
 4. Units return link counts and a spanning forest, not pairs. Star contractions make components of the forest.
 
 ``similar_texts`` returns one row per input row: id, text_hash, n_links (other rows linked directly, copies included)
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -216,7 +217,7 @@ def _units(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in grouped(batches, 3):
             key, lo, hi = (unit.column(k)[0].as_py() for k in range(3))
-            block, cls, weight = (np.asarray(unit.column(c)) for c in ("block", "cls", "m"))
+            block, cls, weight, main = (np.asarray(unit.column(c)) for c in ("block", "cls", "m", "main"))
             sets = [np.frombuffer(s, dtype=np.uint64) for s in unit.column("shingles").to_pylist()]
             sizes = np.array([len(s) for s in sets])
             signs = np.frombuffer(b"".join(unit.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
@@ -224,6 +225,9 @@ def _units(threshold: float):
             a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
             small = np.minimum(sizes[a][:, None], sizes[b][None, :])
             mask = small >= threshold * np.maximum(sizes[a][:, None], sizes[b][None, :]) - 1e-9
+            # Pairs with one main bucket count there, others in the least bucket that both are in.
+            home = main[a][:, None] == main[b][None, :]
+            mask &= ~home | (main[a] == key)[:, None]
             if lo == hi:
                 mask &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
             i, j = surviving(signs[a], signs[b], mask, least)
@@ -233,19 +237,36 @@ def _units(threshold: float):
             i, j = a[i], b[j]
             keep = both >= threshold * (sizes[i] + sizes[j] - both) - 1e-9
             i, j = i[keep], j[keep]
-            keep = ~elsewhere(met, met, key, i, j) if len(i) else np.zeros(0, dtype=bool)
+            keep = main[i] == main[j]
+            apart = np.flatnonzero(~keep)
+            if len(apart):
+                keep[apart] = ~elsewhere(met, met, key, i[apart], j[apart])
             if (batch := found_batch(cls, weight, i[keep], j[keep])) is not None:
                 yield batch
 
     return run
 
 
-def with_blocks(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """key, n, cls → one row per unit of work a class takes part in: key, lo, hi, block, cls."""
-    parts = F.ceil(F.col("n") / block).cast("int")
-    cut = members.withColumn("block", F.pmod(F.xxhash64("cls", "key"), parts).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
+def with_blocks(members: DataFrame, block: int | None = None) -> DataFrame:
+    """key, n, cls, main → one row per unit of work a class takes part in: key, lo, hi, block, cls.
+
+    Classes with one main bucket are compared there alone. Where many of them meet again, in another bucket, they fill blocks of
+    their own, which are compared with the bucket's other blocks, but not among themselves.
+    """
+    block = block or BLOCK
+    away = members.filter("main <> key").groupBy("key", "main").agg(F.count("*").alias("size")).filter(F.col("size") >= block)
+    away = away.withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
+    before = F.sum("parts").over(Window.partitionBy("key").orderBy("main")) - F.col("parts")
+    away = stored(away.select("key", "main", "size", "parts", before.cast("int").alias("before")), "join-away")
+    totals = away.groupBy("key").agg(F.sum("size").alias("gone"), F.sum("parts").cast("int").alias("pure"))
+    cut = members.join(totals, "key", "left").join(away.drop("size"), ["key", "main"], "left")
+    mixed = F.ceil((F.col("n") - F.coalesce("gone", F.lit(0))) / block).cast("int")
+    cut = cut.withColumns({"mixed": mixed, "hash": F.xxhash64("cls", "key")})
+    first = F.col("mixed") + F.col("before")
+    own = F.when(F.col("parts").isNotNull(), first + F.pmod("hash", "parts")).otherwise(F.pmod("hash", F.greatest("mixed", F.lit(1))))
+    every = F.sequence(F.lit(0), F.col("mixed") + F.coalesce("pure", F.lit(0)) - 1)
+    others = F.when(F.col("parts").isNull(), every).otherwise(F.filter(every, lambda o: (o < first) | (o >= first + F.col("parts"))))
+    cut = cut.select("key", "cls", own.cast("int").alias("block"), F.explode(others).alias("other"))
     return cut.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "cls")
 
 
@@ -285,7 +306,9 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "join-classes",
     )
     members = shared_buckets(classes.select("cls", F.explode("bands").alias("key")))
-    met = members.groupBy("cls").agg(F.collect_set("key").alias("met"))  # at most one key per band
+    # At most one key per band; the largest bucket of a class is its main one.
+    largest = F.min(F.struct((-F.col("n")).alias("n"), "key")).getField("key")
+    met = members.groupBy("cls").agg(F.collect_set("key").alias("met"), largest.alias("main"))
 
     schema = T.StructType(
         [T.StructField("cls", T.LongType()), T.StructField("shingles", T.BinaryType()), T.StructField("signature", T.BinaryType())]
@@ -310,7 +333,8 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = narrow.select("id", "text").join(ids, "id", "left_semi").select("text")
     contents = texts.mapInArrow(content, schema).dropDuplicates(["cls"])
     contents = stored(contents.join(wanted.drop("rep"), "cls"), "join-contents")
-    units = with_blocks(members).join(contents, "cls").select("key", "lo", "hi", "block", "cls", "m", "shingles", "signature", "met")
+    placed = with_blocks(members.join(wanted.select("cls", "main"), "cls"))
+    units = placed.join(contents, "cls").select("key", "lo", "hi", "block", "cls", "m", "main", "shingles", "signature", "met")
     units = units.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     found = stored(units.mapInArrow(_units(threshold), FOUND), "join-found")
     return joined_rows(signed.select("id", "text_hash", "cls"), classes.select("cls", "m", "rep"), found)

@@ -65,11 +65,45 @@ def test_a_large_group_is_cut_into_blocks(texts, monkeypatch):
     rng = random.Random(8)
     base = prose(rng, 150)
     rows = [(k, near(rng, base, rng.randint(0, 5)), "s") for k in range(70)]
-    members = ngram_join.with_blocks
+    got = similar_texts(texts(rows)).select("id", "n_links", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
 
-    monkeypatch.setattr(ngram_join, "with_blocks", lambda m, block=8: members(m, 8))
+def test_large_groups_that_share_buckets_and_a_chain_between_them(texts, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    shipped = []
+    cut = ngram_join.with_blocks
+
+    def counted(members):
+        shipped.append((members.count(), cut(members).count()))
+        return cut(members)
+
+    monkeypatch.setattr(ngram_join, "with_blocks", counted)
+    rng = random.Random(10)
+    words = prose(rng, 200).split()
+    # Texts drift from one base to another, so that neighbours link, and ends don't.
+    rows, other = [], prose(rng, 200).split()
+    for k in range(60):
+        mixed = other[: 2 * k] + words[2 * k :]
+        rows.append((k, " ".join(mixed), "s"))
+        rows.append((100 + k, near(rng, " ".join(mixed), 1), "s"))
+    rows += [(500 + k, near(rng, " ".join(words), rng.randint(0, 3)), "s") for k in range(50)]
     got = similar_texts(texts(rows)).select("id", "n_links", "component_id").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert shipped[0][1] > shipped[0][0]  # some buckets need several blocks
+
+
+def test_a_bucket_inside_a_main_bucket_needs_no_work(llm):
+    members = [(1, 100, c, 1) for c in range(100)] + [(2, 80, c, 1) for c in range(80)] + [(3, 53, c, 1 if c < 50 else 3) for c in [*range(50), 200, 201, 202]]
+    units = ngram_join.with_blocks(llm.createDataFrame(members, "key long, n long, cls long, main long"), 20).collect()
+    per = collections.Counter(u.key for u in units)
+    assert per == {1: 100 * 5, 3: 50 + 3 * 4}  # the three others meet each other and the three blocks of the fifty
+    met = collections.defaultdict(set)
+    for u in units:
+        met[u.key, u.lo, u.hi].add(u.cls)
+    for a in range(50):
+        for b in (200, 201, 202):
+            assert any({a, b} <= who for (key, _, _), who in met.items() if key == 3)
 
 
 def test_empty_table(texts):
