@@ -39,8 +39,8 @@ WINDOW = LENGTH - GRAM + 1
 CROWD, CROWD_ALL = 64, 512
 #: Runs that a task gathers before it combines them; bounds memory.
 GATHERED = 600_000
-#: Destinations for each partition; a task takes one after the other.
-SPREAD = 16
+#: Bytes of text for each destination. Destinations follow from the data alone, and a task takes one after the other.
+DESTINATION = 1 << 20
 LAST_ID = (1 << 63) - 1
 
 COVERED, ASK, ASK_CROWDED = 0, 1, 2
@@ -131,12 +131,22 @@ def _distinct(*columns: np.ndarray) -> np.ndarray:
     return fresh
 
 
+def _ordered(hashes: np.ndarray, *further: np.ndarray) -> np.ndarray:
+    """The order by hash, then by the further columns, first one first; only hashes that repeat need those."""
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order][1:] == hashes[order][:-1]
+    repeated = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))
+    rows = order[repeated]
+    order[repeated] = rows[np.lexsort((*(c[rows] for c in reversed(further)), hashes[rows]))]
+    return order
+
+
 def _combined(gathered: list[tuple], spread: int, crowd: int) -> Iterator[pa.RecordBatch]:
     """The runs of a task: equal ones once, the rest covered; crowded anchors as a mark and as windows to be asked for."""
     if not gathered:
         return
     hashes, text, ids, cls, start, count = (np.concatenate(c) for c in zip(*gathered, strict=True))
-    order = np.lexsort((start, cls, ids, text, hashes))
+    order = _ordered(hashes, text, ids, cls, start)
     order = order[_distinct(*(c[order] for c in (hashes, text, ids, cls, start)))]
     hashes, text, ids, cls, start, count = (c[order] for c in (hashes, text, ids, cls, start, count))
     new_hash = np.concatenate(([True], hashes[1:] != hashes[:-1]))
@@ -182,7 +192,7 @@ def _judged_anchors(spread: int, crowd_all: int):
                 yield from judged(_unpack(unit.to_batches(), _NAMES))
 
     def judged(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((c["start"], c["cls"], c["id"], c["text"], c["kind"], c["hash"]))
+        order = _ordered(*(c[k] for k in ("hash", "kind", "text", "id", "cls", "start")))
         c = {k: v[order] for k, v in c.items()}
         new_hash = np.concatenate(([True], c["hash"][1:] != c["hash"][:-1]))
         same_place = np.zeros(len(order), dtype=bool)
@@ -476,8 +486,9 @@ def without_repeats(
     """id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row. ``id_col`` holds integers."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = SPREAD * partitions
     text = F.coalesce(F.col(text_col), F.lit(""))
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    spread = -(-size // DESTINATION) or 1
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("text_cls"), text.alias("body"))
     first = rows.mapInArrow(_anchor_rows(spread, crowd), PACKED)
 
