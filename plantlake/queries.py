@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plantlake.config import MACHINE_METADATA, SENSOR_DATA, PipelineConfig
 from plantlake.functions.columns import drop_technical_columns
 from plantlake.operators import quality, scd2
-from plantlake.operators.layout import cluster_rows, create_view, materialize
+from plantlake.operators.layout import cluster_rows, compact, create_view, files_in_range, materialize
 from plantlake.plans import alerts, contracts, full_load, gold, silver, synth
 from plantlake.plans.refresh import refresh_gold_days
 from plantlake.session import configure, scratch_path, write_through
@@ -441,6 +441,30 @@ def clustered_write(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+CURVE_MACHINE, CURVE_DAY = 17, "2024-01-12"
+
+
+@query
+def clustered_curve(spark, sf_dir):
+    """Six appends, then a compaction along a curve through machine and time: whether filters on either column open fewer files than half."""
+    cfg = _config(spark)
+    cfg.create_schemas(spark)
+    name, columns = f"{cfg.silver_schema}.fact_sensor", ["machine_id", "machine_timestamp"]
+    facts = _facts(spark, sf_dir).drop("_loading_ts")
+    for part in range(6):
+        facts.filter(F.pmod(F.xxhash64("reading_id"), F.lit(6)) == part).coalesce(1).write.mode("append").saveAsTable(name)
+    day = [dt.datetime.fromisoformat(f"{CURVE_DAY}T{t}") for t in ("00:00:00", "23:59:59.999999")]
+    filters = {"machine": ("machine_id", CURVE_MACHINE, CURVE_MACHINE), "day": ("machine_timestamp", *[F.lit(str(d)).cast("timestamp") for d in day])}
+    before = {f: files_in_range(spark.read.table(name), *span) for f, span in filters.items()}
+    stored = compact(spark, name, columns, files=36)
+    rows = []
+    for f, (column, low, high) in filters.items():
+        opened, every = files_in_range(stored, column, low, high)
+        matching = stored.filter((F.col(column) >= F.lit(low)) & (F.col(column) <= F.lit(high))).count()
+        rows.append((f, matching, before[f] == (6, 6), 2 * opened <= every))
+    return spark.createDataFrame(rows, "filtered string, matching long, all_files_before boolean, half_or_less_after boolean")
+
+
 @query
 def load_table_file(spark, sf_dir):
     path = f"{scratch_path(spark, 'csv')}/customer.csv"

@@ -69,7 +69,7 @@ def append_counted(
 
     def publish(batch: DataFrame, number: int) -> None:
         # Range bounds are sampled by an extra run of what lies below them, so counting comes after the shuffle.
-        laid_out = spread_by_range(batch, cluster_by, row_id=row_id) if cluster_by else batch
+        laid_out = spread_by_range(batch, cluster_by, row_id=row_id).sortWithinPartitions(*cluster_by) if cluster_by else batch
         seen = Observation()
         kept = keep_valid(observe_rules(laid_out, rules, seen), rules)
         kept.write.mode("overwrite").parquet(f"{place}/{BATCH}={number}")

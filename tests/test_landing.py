@@ -5,7 +5,7 @@ import pytest
 from instants import at
 
 from plantlake.config import SENSOR_DATA
-from plantlake.operators.layout import cluster_rows
+from plantlake.operators.layout import cluster_by_curve, cluster_rows, compact, files_in_range
 from plantlake.plans.full_load import load_bronze
 from plantlake.queries import _config
 from plantlake.sources.files import read_table_file, write_json_lines
@@ -119,3 +119,27 @@ def test_clustered_files_have_disjoint_ranges_and_split_equal_keys(spark, tmp_pa
     cluster_rows(df.selectExpr("1 AS k", "v"), ["k"], 4).write.parquet(f"{tmp_path}/hot")
     counts = [r[1] for r in spark.read.parquet(f"{tmp_path}/hot").groupBy("_metadata.file_name").count().collect()]
     assert len(counts) == 4 and max(counts) < 2000
+
+
+def test_a_curve_is_narrow_in_every_column_and_splits_hot_values(spark, tmp_path):
+    df = spark.range(6000).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 97)) AS k", "id * 7919 % 6000 AS v", "IF(id % 50 = 0, NULL, id % 11) AS n")
+    cluster_by_curve(df, ["k", "v"], 36).write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    for column, low, high in (("k", "k40", "k40"), ("v", 3000, 3100)):
+        opened, every = files_in_range(stored, column, low, high)
+        assert 0 < opened <= every / 2, column
+    # The hot key alone fills several files, none of them far above the mean.
+    counts = [r[1] for r in stored.groupBy("_metadata.file_name").count().collect()]
+    assert len(counts) >= 20 and max(counts) < 4 * 6000 / len(counts)
+    assert cluster_by_curve(df.filter("false"), ["k", "n"]).count() == 0
+
+
+def test_compaction_keeps_the_rows_of_a_table(spark, rows, tmp_path):
+    spark.sql(f"CREATE DATABASE compacted LOCATION '{tmp_path}/db'")
+    for part in range(5):
+        spark.range(part * 10, part * 10 + 10).selectExpr("id", "CAST(NULL AS STRING) AS name", "id % 3 AS k").write.mode("append").saveAsTable("compacted.t")
+    before = rows(spark.table("compacted.t"))
+    compact(spark, "compacted.t", ["k", "name"], 2)
+    assert rows(spark.table("compacted.t")) == before
+    assert len(spark.table("compacted.t").inputFiles()) <= 2
