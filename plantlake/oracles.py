@@ -280,6 +280,7 @@ FROM (SELECT *, reading_id % 3 AS part FROM fx_sensor)""",
 UNION ALL SELECT 'day', count(*), TRUE, TRUE FROM facts WHERE CAST(machine_timestamp AS DATE) = DATE '{CURVE_DAY}'"""
     ),
     "load_table_file": "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM customer",
+    "load_table_file_json": "SELECT * REPLACE (CAST(c_custkey AS BIGINT) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey) FROM customer",
 }
 
 # --- synthetic tables -------------------------------------------------------------------
@@ -453,6 +454,7 @@ def _synthetic() -> dict[str, str]:
         f"SELECT p.machine_id, m.* EXCLUDE (id) FROM ({machines}) m LEFT JOIN"
         f" (SELECT {ranked} AS pos, value AS machine_id FROM {pool}) p ON m.id = p.pos"
     )
+    out["synth_saved"] = out["synth_machines"]
     f = of("sensor_data")
     codes = f("error_code")
     out["synth_sensors"] = _rows(

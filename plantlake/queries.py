@@ -472,6 +472,17 @@ def load_table_file(spark, sf_dir):
     return read_table_file(spark, path)
 
 
+@query
+def load_table_file_json(spark, sf_dir):
+    """A table as JSON documents, each an array of records."""
+    path = f"{scratch_path(spark, 'documents')}/customer.json"
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    part = F.floor(F.col("c_custkey") / 1000).alias("part")
+    documents = customers.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
+    documents.write.partitionBy("part").text(path)
+    return read_table_file(spark, path).drop("part")
+
+
 @query
 def full_load_agg(spark, sf_dir):
     """Both feeds as landing files, through every layer to the daily aggregate; its hashed key as text."""
@@ -623,3 +634,12 @@ def synth_machines(spark, sf_dir):
 @query
 def synth_sensors(spark, sf_dir):
     return _machine_example(spark, sf_dir)[1]
+
+
+@query
+def synth_saved(spark, sf_dir):
+    """Both feeds generated and saved as JSON lines, as many rows as the given tables have; the saved machines."""
+    machines, readings = (spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("customer", "events"))
+    specs = synth.machine_specs(machines, readings, SYNTH_NOW)
+    paths = synth.generate_and_save(spark, specs, scratch_path(spark, "saved"), now=SYNTH_NOW)
+    return spark.read.schema(synth.generate_dataset(spark, specs[0], now=SYNTH_NOW).schema).json(paths["machine_metadata"])
