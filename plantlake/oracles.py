@@ -340,6 +340,16 @@ class _Field:
         return f"strftime({moved}, '%Y-%m-%dT%H:%M:%S') || '{suffix}'"
 
 
+def _shuffled(dataset: str, field: str) -> str:
+    """c_custkey and pos: each customer's place in the field's shuffle of as many members as there are customers."""
+    drawn = f"CAST('0x' || substr(md5('{SEED}|{dataset}|{field}|' || i || '|' || (CASE WHEN i % 2 = 0 THEN y % w ELSE y // w END)), 1, 13) AS BIGINT)"
+    step = f"CASE WHEN i % 2 = 0 THEN ((y // w + {drawn}) % h) * w + y % w ELSE (y // w) * w + (y % w + {drawn}) % w END"
+    moved = f"list_reduce([z, 0, 1, 2, 3, 4, 5], lambda y, i: {step})"
+    walk = f"list_reduce(list_prepend(c_custkey, range(65)), lambda z, k: CASE WHEN k > 0 AND z < n THEN z ELSE {moved} END)"
+    sizes = "SELECT n, h, CAST(ceil(n / h) AS BIGINT) AS w FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS h FROM customer)"
+    return f"SELECT c_custkey, {walk} AS pos FROM customer, ({sizes})"
+
+
 def _rows(fields: dict[str, str], table: str = "events", row_id: str = "event_id") -> str:
     columns = ", ".join(f"{expr} AS {name}" for name, expr in fields.items())
     return f"SELECT {columns} FROM (SELECT {row_id} AS id FROM {table})"
@@ -426,14 +436,12 @@ def _synthetic() -> dict[str, str]:
         "SELECT row_id, c_custkey AS customer, machine_id, line, lot FROM"
         f" ({drawn}) d LEFT JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer) c USING (pos)"
     )
-    ranked = f"row_number() OVER (ORDER BY md5('{SEED}|' || value), value) - 1"
     out["synth_reference_unique"] = (
-        f"SELECT c_custkey AS row_id, customer FROM customer LEFT JOIN (SELECT {ranked} AS pos, value AS customer"
-        " FROM (SELECT c_name AS value FROM customer)) p ON c_custkey = pos"
+        f"SELECT c_custkey AS row_id, p.customer FROM ({_shuffled('unique', 'customer')}) s"
+        " LEFT JOIN (SELECT row_number() OVER (ORDER BY c_name) - 1 AS pos, c_name AS customer FROM customer) p ON s.pos = p.pos"
     )
 
     f = of("machine_metadata")
-    pool = "(SELECT printf('MACH-%04d', n + 1) AS value FROM (SELECT unnest(range((SELECT count(*) FROM customer))) AS n))"
     machines = _rows(
         {
             "id": "id",
@@ -451,8 +459,8 @@ def _synthetic() -> dict[str, str]:
         "c_custkey",
     )
     out["synth_machines"] = (
-        f"SELECT p.machine_id, m.* EXCLUDE (id) FROM ({machines}) m LEFT JOIN"
-        f" (SELECT {ranked} AS pos, value AS machine_id FROM {pool}) p ON m.id = p.pos"
+        "SELECT printf('MACH-%04d', pos + 1) AS machine_id, m.* EXCLUDE (id)"
+        f" FROM ({machines}) m JOIN ({_shuffled('machine_metadata', 'machine_id')}) s ON m.id = s.c_custkey"
     )
     out["synth_saved"] = out["synth_machines"]
     f = of("sensor_data")

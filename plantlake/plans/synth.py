@@ -29,9 +29,6 @@ class IdPool:
     def member(self, index: Column) -> Column:
         return F.format_string(f"{self.prefix}%0{self.digits}d", (index + 1).cast("bigint"))
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.range(self.size).select(self.member(F.col("id")).alias("value"))
-
 
 @dataclass(frozen=True)
 class TablePool:
@@ -188,10 +185,11 @@ def generate_dataset(
 
     Ids of ``rows`` must be distinct; with unique references they must lie between 0 and the size of
     the pool. Plain fields cost no shuffle. A reference into a list or a table is a join on the drawn
-    position, whatever its length, and a unique reference a join on the rank of a shuffled pool.
+    position, whatever its length. A unique reference takes a shuffled position instead, and computed ids need no join at all.
     """
+    known = None
     if rows is None:
-        rows, row_id = spark.range(spec.num_records), "id"
+        rows, row_id, known = spark.range(spec.num_records), "id", spec.num_records
     now = now or dt.datetime.now()
     base = rows.select(F.col(row_id).alias("_row"))
     exprs: dict[str, Column] = {}
@@ -202,7 +200,7 @@ def generate_dataset(
             if f.reference_pool is None:
                 raise ValueError(f"field '{f.name}': type 'reference' needs 'reference_pool'")
             if f.reference_unique:
-                base = _add_unique_reference(base, f, seed)
+                base = _add_unique_reference(base, f, d, known)
                 exprs[f.name] = F.col(f.name)
             elif isinstance(f.reference_pool, IdPool):
                 exprs[f.name] = _nulled(f, d, f.reference_pool.member(d.below(f.reference_pool.size)))
@@ -220,20 +218,23 @@ def _add_reference(base: DataFrame, f: FieldSpec, d: Draws) -> DataFrame:
     return drawn.join(numbered.withColumnRenamed("value", f.name), "_at", "left").drop("_at")
 
 
-def _add_unique_reference(base: DataFrame, f: FieldSpec, seed: int) -> DataFrame:
-    """Members in the order of a seeded hash of their text, so that the order does not depend on how the pool is held."""
+def _add_unique_reference(base: DataFrame, f: FieldSpec, d: Draws, known: int | None) -> DataFrame:
+    """Each row gets the member at its place in a seeded shuffle of the pool, so members don't repeat.
+
+    Ids of a computed pool need no join. ``known`` says that the row ids are 0 … known-1; others are checked by an aggregate.
+    """
     pool = f.reference_pool
-    table = pool.table(base.sparkSession) if isinstance(pool, (IdPool, TablePool)) else _numbered_pool(base.sparkSession, pool)[0]
-    table = table.select("value")
-    size = pool.size if isinstance(pool, IdPool) else table.count()
-    wanted, least, most = base.agg(F.count("*"), F.min("_row"), F.max("_row")).first()
+    numbered, size = (None, pool.size) if isinstance(pool, IdPool) else _numbered_pool(base.sparkSession, pool)
+    wanted, least, most = (known, 0, known - 1) if known is not None else base.agg(F.count("*"), F.min("_row"), F.max("_row")).first()
     if wanted and (size < wanted or least < 0 or most >= size):
         raise ValueError(
             f"field '{f.name}': {wanted} records with ids {least} to {most} need as many unique values, the pool has {size}"
         )
-    order = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("value").cast("string"), F.lit("NULL"))))
-    ranked = dense_number(table.withColumn("_order", order), ["_order", "value"], "_row")
-    return base.join(ranked.select("_row", F.col("value").alias(f.name)), "_row", "left")
+    if not size:
+        return base.withColumn(f.name, F.lit(None).cast("string"))
+    if numbered is None:
+        return base.withColumn(f.name, pool.member(d.shuffled(size)))
+    return base.withColumn("_at", d.shuffled(size)).join(numbered.withColumnRenamed("value", f.name), "_at", "left").drop("_at")
 
 
 def machine_specs(

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from plantlake.functions.draws import Draws
 from plantlake.plans import synth
 from plantlake.plans.synth import DatasetSpec, FieldSpec, IdPool, TablePool, generate_dataset
 
@@ -103,6 +104,30 @@ def test_the_order_of_a_unique_reference_does_not_depend_on_how_the_pool_is_held
     assert sorted(v for v in with_null if v) == names[:30] and with_null.count(None) == 1
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000, 4099])
+def test_a_shuffle_is_a_bijection_of_its_own_for_each_seed_and_field(spark, n):
+    def of(seed, field):
+        d = Draws(seed, "set", field, F.col("id"))
+        return [r[0] for r in spark.range(n).coalesce(1).select("id", d.shuffled(n).alias("at")).orderBy("id").select("at").collect()]
+
+    first = of(1, "a")
+    assert sorted(first) == list(range(n)) and of(1, "a") == first
+    if n > 50:
+        assert first != list(range(n)) and of(2, "a") != first and of(1, "b") != first
+        # Neighbours are taken apart: no more short steps than chance has.
+        assert sum(abs(a - b) <= n // 20 for a, b in zip(first, first[1:])) < 0.3 * n
+
+
+def test_a_unique_reference_into_computed_ids_needs_no_job_and_no_shuffle(spark):
+    spec = DatasetSpec("set", [FieldSpec("v", "reference", reference_pool=IdPool("K", 10**9), reference_unique=True)], 10**6)
+    spark.sparkContext.setJobGroup("synth", "no job is expected")
+    plan = generate_dataset(spark, spec)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("synth") == []
+    spark.sparkContext.setJobGroup("other", "")
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.limit(3).count() == 3
+
+
 def test_unique_references_refuse_rows_they_cannot_serve(spark):
     field = FieldSpec("v", "reference", reference_pool=["a", "b", "c"], reference_unique=True)
     for rows in (spark.range(4), spark.range(1, 4), spark.range(-1, 1)):
