@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plantlake.plans import contracts, silver, synth
-from plantlake.queries import ALERT_AS_OF, CURVE_DAY, CURVE_MACHINE, DAILY_AS_OF, FIRST_ORDERS, LATE_CHANGES, LATE_READINGS, SYNTH_NOW
+from plantlake.queries import ALERT_AS_OF, CURVE_DAY, DAILY_AS_OF, FIRST_ORDERS, LATE_CHANGES, LATE_READINGS, SYNTH_NOW
 
 # --- shared pieces ----------------------------------------------------------------------
 
@@ -276,7 +276,7 @@ FROM (SELECT *, reading_id % 3 AS part FROM fx_sensor)""",
     "silver_fact_stream": _facts(f"SELECT {_LANDED} FROM facts"),
     "clustered_write": _facts("SELECT * FROM facts"),
     "clustered_curve": _facts(
-        f"""SELECT 'machine' AS filtered, count(*) AS matching, TRUE AS all_files_before, TRUE AS half_or_less_after FROM facts WHERE machine_id = {CURVE_MACHINE}
+        f"""SELECT 'machine' AS filtered, count(*) AS matching, TRUE AS all_files_before, TRUE AS half_or_less_after FROM facts WHERE machine_id = (SELECT (min(machine_id) + max(machine_id)) // 2 FROM facts)
 UNION ALL SELECT 'day', count(*), TRUE, TRUE FROM facts WHERE CAST(machine_timestamp AS DATE) = DATE '{CURVE_DAY}'"""
     ),
     "load_table_file": "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM customer",
