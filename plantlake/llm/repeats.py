@@ -266,7 +266,32 @@ def repeated_windows(data: np.ndarray, begin: np.ndarray, count: np.ndarray, ear
     """Marks of windows that are not the first of their equals.
 
     Slices of ``data`` start at ``begin`` and have ``count`` windows; ``earlier`` ranks the slices. Result: one mark per window, slice by slice.
+    A window whose hash no other has needs no sorting, so the suffixes of what is left are sorted.
     """
+    own = np.repeat(np.arange(len(begin)), count)
+    within = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    place = begin[own] + within
+    powers, inverses = _power_tables(len(data) + 1)
+    prefix = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)])))
+    hashes = mixed((prefix[place + LENGTH] - prefix[place]) * inverses[place])
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    left = np.zeros(len(own), dtype=bool)
+    left[order[1:][same]] = left[order[:-1][same]] = True
+    marks = np.zeros(len(own), dtype=bool)
+    if not left.any():
+        return marks
+    opens = left & np.concatenate(([True], ~left[:-1] | (own[1:] != own[:-1])))
+    closes = left & np.concatenate((~left[1:] | (own[1:] != own[:-1]), [True]))
+    first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+    rank = np.empty(len(first), dtype=np.int64)
+    rank[np.lexsort((within[first], earlier[own[first]]))] = np.arange(len(first))
+    marks[left] = _later_windows(data, place[first], last - first + 1, rank)
+    return marks
+
+
+def _later_windows(data: np.ndarray, begin: np.ndarray, count: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """`repeated_windows` by the suffix array of all slices."""
     size = count + LENGTH - 1
     own = np.repeat(np.arange(len(begin)), size + 1)
     ends = np.cumsum(size + 1)
