@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -102,3 +103,36 @@ def test_pairs_of_ordinary_words_are_learnt(llm):
     docs = corpus.select("doc_id", "text")
     scored = score_texts(docs, fit_toxicity(docs, train)).join(corpus.select("doc_id", "toxic"), "doc_id").filter("doc_id % 3 = 1").collect()
     assert sum((r["score"] >= 0.7) != bool(r["toxic"]) for r in scored) <= 2
+
+
+def test_the_composed_machine_does_what_the_five_do_side_by_side():
+    """All inputs of up to four symbols, against plain rules over the whole input."""
+    from plantlake.llm import toxicity as t
+
+    machines = (t.TARGETED, t.NEGATED, t.REPORTED, t.INSULTED, t.THREATENED)
+    for length in range(5):
+        for symbols in itertools.product(t.SYMBOLS, repeat=length):
+            state, apart = 0, [0] * len(machines)
+            for symbol in symbols:
+                state = t.GRAMMAR.move[state][symbol]
+                apart = [m.move[s][symbol] for m, s in zip(machines, apart, strict=True)]
+            rest, parts = state, []
+            for m in machines:
+                parts.append(rest % m.states)
+                rest //= m.states
+            assert parts == apart
+
+            targeted = t.TARGET in symbols
+            negated = t.NEGATION in symbols[-t.SCOPE :]
+            quoted, reported = False, False
+            for symbol in symbols:
+                if symbol == t.QUOTE:
+                    quoted, reported = not quoted, False
+                elif symbol == t.REPORT and not quoted:
+                    reported = True
+            assert t.context(state) == targeted | negated << 1 | (quoted or reported) << 2
+            verb = symbols.index(t.THREAT) if t.THREAT in symbols else None
+            objected = verb is not None and any(s in (t.TARGET, t.INSULT) for s in symbols[verb + 1 :])
+            insult = 0.0 if t.INSULT not in symbols else 1.0 if targeted else t.ALONE
+            assert t.INSULTED.weights[parts[3]] == insult
+            assert t.THREATENED.weights[parts[4]] == (0.0 if verb is None else 1.0 if objected else t.ALONE)
