@@ -72,3 +72,17 @@ def test_two_loads_equal_one_batch_over_everything(spark, rows):
     third = run_full_load(spark, cfg, AS_OF, buckets=4)  # nothing new arrived
     assert near(rows(third.tables["fact_sensor_agg"]), rows(agg))
     assert third.tables["fact_sensor"].agg(F.count("*")).first()[0] == 800
+
+
+def test_touched_days_give_the_tables_of_a_rebuild(spark, rows):
+    cfg = _config(spark)
+    for seed in (1, 2):
+        generate(spark, cfg, seed)
+        tables = run_full_load(spark, cfg, AS_OF, buckets=4, touched_days=True).tables
+    history = spark.table(f"{cfg.silver_schema}.dim_machine_h").select(*silver.HISTORY_COLUMNS)
+    daily = gold.dim_machine_daily(history, AS_OF)
+    agg = gold.fact_sensor_agg(spark.table(f"{cfg.silver_schema}.fact_sensor"), daily)
+    for name, df in {"dim_machine_daily": daily, "fact_sensor_agg": agg}.items():
+        assert tables[name].columns == df.columns, name
+        assert near(rows(tables[name]), rows(df)), name
+    assert tables["fact_sensor_agg"].schema["machine_sk"].metadata["comment"]
