@@ -23,17 +23,27 @@ def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value") ->
     ``_rescued`` is NULL when nothing was lost. JSON nulls and missing keys lose nothing.
     """
     others = [c for c in lines.columns if c != value]
+    made = unused_prefix(others)
     declared = [f.name for f in schema]
     typed = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
     bad = "_bad_line"
     typed.add(bad, T.StringType())
     parsed = lines.filter(F.trim(F.col(value)) != "").select(
         *others,
-        F.col(value).alias("_line"),
-        F.from_json(value, typed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}).alias("_row"),
+        F.col(value).alias(f"{made}line"),
+        F.from_json(value, typed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}).alias(f"{made}row"),
+        F.json_object_keys(value).alias(f"{made}keys"),
     )
-    rescued = _rescued(F.col("_line"), F.col("_row"), declared, bad)
-    return parsed.select(*[F.col("_row").getField(c).alias(c) for c in declared], rescued.alias(RESCUED), *others)
+    row = F.col(f"{made}row")
+    return _with_rescued(parsed, declared, bad, made).select(*[row.getField(c).alias(c) for c in declared], F.col(f"{made}rescued").alias(RESCUED), *others)
+
+
+def unused_prefix(columns: Sequence[str]) -> str:
+    """A prefix that no column begins with, for columns made on the way."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
 
 
 def variants(json: Column) -> Column:
@@ -41,23 +51,30 @@ def variants(json: Column) -> Column:
     return F.try_parse_json(json).try_cast("map<string,variant>")
 
 
-def _rescued(line: Column, row: Column, declared: Sequence[str], bad: str) -> Column:
-    # The second parse, into variants, runs only for lines with a misfit or an undeclared key.
-    keys = F.json_object_keys(line)
-    known = F.array(*[F.lit(c) for c in declared])
-    intact = row.getField(bad).isNull() & keys.isNotNull() & (F.size(F.array_except(keys, known)) == 0)
+def _with_rescued(parsed: DataFrame, declared: Sequence[str], bad: str, made: str) -> DataFrame:
+    """Add the rescue column to lines with their row and keys.
 
-    raw = variants(line)
+    Each step reads several times what the one before it made, so the optimizer keeps them apart, and a line is parsed once for each.
+    The second parse, into variants, runs only for lines with a misfit or an undeclared key.
+    """
+    line, row, keys, intact, raw, lost, left = (F.col(f"{made}{c}") for c in ("line", "row", "keys", "intact", "raw", "lost", "left"))
+    known = F.array(*[F.lit(c) for c in declared])
+    whole = row.getField(bad).isNull() & keys.isNotNull() & (F.size(F.array_except(keys, known)) == 0)
     lost_names = F.array_compact(F.array(*[F.when(row.getField(c).isNull(), F.lit(c)) for c in declared]))
-    left = F.map_filter(
+    judged = parsed.withColumn(f"{made}intact", whole)
+    opened = judged.withColumns(
+        {f"{made}raw": F.when(~intact & keys.isNotNull(), variants(line)), f"{made}lost": F.when(~intact, lost_names)}
+    )
+    kept = F.map_filter(
         raw,
-        lambda k, v: ~F.is_variant_null(v) & (~F.array_contains(known, k) | F.array_contains(lost_names, k)),
+        lambda k, v: ~F.is_variant_null(v) & (~F.array_contains(known, k) | F.array_contains(lost, k)),
     )
-    return (
+    rescued = (
         F.when(intact, F.lit(None).cast("string"))
         .when(keys.isNull() | raw.isNull(), line)
         .when(F.size(left) > 0, F.to_json(left))
     )
+    return opened.withColumn(f"{made}left", kept).withColumn(f"{made}rescued", rescued)
 
 
 def with_lineage(df: DataFrame) -> DataFrame:

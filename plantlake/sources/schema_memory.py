@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantlake.sources.landing import RESCUED, variants
+from plantlake.sources.landing import RESCUED, unused_prefix, variants
 
 LOG = "load int, position int, name string, type string"
 LEAST_SHARE = 0.01
@@ -109,10 +109,17 @@ def promoted(table: DataFrame, learnt: Sequence[T.StructField]) -> DataFrame:
     """Rows of a landing table with each learnt column filled from ``_rescued`` where its row arrived before the column; what fits leaves ``_rescued``."""
     if not learnt:
         return table
-    held = variants(F.col(RESCUED))
-    values = {f.name: _kept(F.element_at(held, f.name), f.dataType) for f in learnt}
-    names = F.array_compact(F.array(*[F.when(v.isNotNull(), F.lit(name)) for name, v in values.items()]))
-    left = F.map_filter(held, lambda k, v: ~F.array_contains(names, k))
+    # Each step reads several times what the one before it made, so the optimizer keeps them apart: a rescue is parsed once.
+    made = unused_prefix(table.columns)
+    held, names, left = (F.col(f"{made}{c}") for c in ("held", "names", "left"))
+    values = {f.name: f"{made}value{k}" for k, f in enumerate(learnt)}
+    opened = table.withColumn(f"{made}held", variants(F.col(RESCUED)))
+    found = opened.withColumns({values[f.name]: F.element_at(held, f.name) for f in learnt})
+    fitting = found.withColumns({values[f.name]: _kept(F.col(values[f.name]), f.dataType) for f in learnt})
+    promotes = F.array_compact(F.array(*[F.when(F.col(v).isNotNull(), F.lit(name)) for name, v in values.items()]))
+    named = fitting.withColumn(f"{made}names", F.when(held.isNotNull(), promotes))
+    rests = F.when(F.size(names) > 0, F.map_filter(held, lambda k, v: ~F.array_contains(names, k)))
+    whole = named.withColumn(f"{made}left", rests)
     rest = F.when(held.isNull() | (F.size(names) == 0), F.col(RESCUED)).when(F.size(left) > 0, F.to_json(left))
-    columns = {name: F.coalesce(F.col(name), v) for name, v in values.items()}
-    return table.select(*[columns.get(c, F.col(c)).alias(c) if c != RESCUED else rest.alias(c) for c in table.columns])
+    columns = {name: F.coalesce(F.col(name), F.col(v)) for name, v in values.items()}
+    return whole.select(*[columns.get(c, F.col(c)).alias(c) if c != RESCUED else rest.alias(c) for c in table.columns])

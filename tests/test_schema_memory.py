@@ -1,12 +1,15 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantlake.config import SENSOR_DATA
 from plantlake.plans.full_load import load_bronze, read_bronze, schema_memory
 from plantlake.queries import _config
-from plantlake.sources.schema_memory import SchemaMemory, column_type
+from plantlake.sources.landing import parse_lines
+from plantlake.sources.schema_memory import SchemaMemory, column_type, promoted
 
 
 @pytest.mark.parametrize(
@@ -63,3 +66,24 @@ def test_two_deliveries_and_values_that_do_not_fit(spark, tmp_path):
     # The stored files are as they were; only the fifth row has the column in its file.
     stored = spark.table(f"{cfg.bronze_schema}.sensor_data")
     assert [r.reading_id for r in stored.filter("count IS NOT NULL").collect()] == ["r5"]
+
+
+def test_a_line_and_a_rescue_are_parsed_once(spark, tmp_path):
+    """The plans hold each parse once, however often its result is read."""
+    learnt = [T.StructField("a", T.LongType()), T.StructField("__held", T.StringType())]
+    lines = spark.createDataFrame([('{"reading_id":"r","a":"x","__held":"y","more":1}', 2)], "value string, __row int").coalesce(1)
+    lines.write.parquet(str(tmp_path / "lines"))
+    lines = spark.read.parquet(str(tmp_path / "lines"))
+    parsed = parse_lines(lines, SENSOR_DATA.schema)
+    old = parsed.withColumns({"a": F.lit(None).cast("long"), "__held": F.lit(None).cast("string")})
+    old.write.parquet(str(tmp_path / "old"))
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        for made, calls in ((parsed, ("from_json", "jsonobjectkeys", "parse_json")), (promoted(spark.read.parquet(str(tmp_path / "old")), learnt), ("parse_json",))):
+            plan = made._jdf.queryExecution().optimizedPlan().toString().lower().replace("jsontostructs", "from_json").replace("parsejson", "parse_json")
+            assert [len(re.findall(call + r"\w*\(", plan)) for call in calls] == [1] * len(calls), plan
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    (row,) = promoted(spark.read.parquet(str(tmp_path / "old")), learnt).collect()
+    assert (row["a"], row["__held"], row["__row"], row["_rescued"]) == (None, "y", 2, '{"a":"x","more":1}')
