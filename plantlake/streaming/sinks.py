@@ -38,6 +38,9 @@ def append_to_table(
 
 
 BATCH = "_batch"
+#: Rows of a clustered micro-batch for each range. Bounds are sampled at the driver, a few hundred rows a range, so a
+#: batch gets as many ranges as it has rows for, not those of a whole shuffle.
+RANGE_ROWS = 100_000
 
 
 def append_counted(
@@ -69,7 +72,10 @@ def append_counted(
 
     def publish(batch: DataFrame, number: int) -> None:
         # Range bounds are sampled by an extra run of what lies below them, so counting comes after the shuffle.
-        laid_out = spread_by_range(batch, cluster_by, row_id=row_id).sortWithinPartitions(*cluster_by) if cluster_by else batch
+        laid_out = batch
+        if cluster_by:
+            ranges = -(-batch.count() // RANGE_ROWS) or 1
+            laid_out = spread_by_range(batch, cluster_by, ranges, row_id).sortWithinPartitions(*cluster_by)
         seen = Observation()
         kept = keep_valid(observe_rules(laid_out, rules, seen), rules)
         kept.write.mode("overwrite").parquet(f"{place}/{BATCH}={number}")

@@ -59,3 +59,24 @@ def test_a_run_that_ends_inside_a_batch_counts_it_once(spark, rows, monkeypatch,
     assert rows(rule_history(spark, f"{base}/counts"), "rule", "passed") == [("even", 6), ("small", 10), ("total", 12)]
     assert run() == {}
     assert spark.table(name).count() == 5
+
+
+def test_a_clustered_batch_gets_ranges_for_its_rows(spark, rows, monkeypatch):
+    """A batch of few rows has one range, for which no bounds are sampled."""
+    base = scratch_path(spark, "sinks")
+    spark.sql(f"CREATE DATABASE sink_ranges LOCATION '{base}/db'")
+    spark.range(24).coalesce(1).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("id long").parquet(f"{base}/in")
+    cut, ranges = sinks.spread_by_range, []
+
+    def counted(*args, **kwargs):
+        laid_out = cut(*args, **kwargs)
+        ranges.append(laid_out.select(F.spark_partition_id().alias("p")).distinct().count())
+        return laid_out
+
+    monkeypatch.setattr(sinks, "spread_by_range", counted)
+    for name, least in (("one", 100), ("many", 4)):
+        monkeypatch.setattr(sinks, "RANGE_ROWS", least, raising=False)
+        append_counted(stream, RULES, f"sink_ranges.{name}", f"{base}/{name}", f"{base}/{name}-counts", ["id"], ["id"])
+        assert rows(spark.table(f"sink_ranges.{name}"), "id") == [(k,) for k in (0, 2, 4, 6, 8)]
+    assert ranges[0] == 1 and ranges[1] > 4  # a shuffle of this session has four
