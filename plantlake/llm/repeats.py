@@ -16,7 +16,8 @@ id and text follow each other: the first is judged, and the others, being copies
    window, after each task has combined equal ones.
 3. Covered windows return to their texts.
 
-Hashes, positions and slices travel packed, one row for each task and destination.
+Hashes, positions and slices travel packed, one row for each task and destination, and numbers without their leading zero bytes. Of an
+anchor's hash 40 bits travel beside the destination that the whole hash gave; neighbouring covered runs travel as one.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ GATHERED = 600_000
 #: Bytes of text for each destination. Destinations follow from the data alone, and a task takes one after the other.
 DESTINATION = 1 << 20
 LAST_ID = (1 << 63) - 1
+#: Of an anchor's hash, what travels with its runs. Anchors that agree there and in their destination cost a comparison.
+ANCHOR_BITS = 40
 
 COVERED, ASK, ASK_CROWDED = 0, 1, 2
 _POWERS = {k: np.uint64(pow(0xD6E8FEB86659FD93, k, 1 << 64)) for k in (1, 2, 4, 8, 16, 32)}
@@ -91,28 +94,102 @@ PACKED = T.StructType(
 )
 
 
+def _narrow(name: str, values: np.ndarray) -> np.ndarray:
+    """Little-endian bytes of numbers, a row each, as wide as the greatest needs; texts and classes are hashes and stay whole."""
+    wide = values.astype(np.int64, copy=False).astype("<u8") if values.dtype != np.uint64 else values
+    width = 8 if name in ("text", "cls") else (int(wide.max()).bit_length() + 7) // 8
+    return np.ascontiguousarray(wide).view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _binary(data: bytes, ends: np.ndarray) -> pa.Array:
+    """A binary column whose values end at ``ends`` (the first entry is 0)."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+
 def _pack(stage: int, keys: np.ndarray, columns: dict[str, np.ndarray], pieces: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
     """One row for each key."""
     if not len(keys):
         return
     order = np.argsort(keys, kind="stable")
-    cuts = np.flatnonzero(np.diff(keys[order])) + 1
-    for part in np.split(order, cuts):
-        row = [pa.array([stage], pa.int32()), pa.array([int(keys[part[0]])], pa.int32())]
-        for name, kind in zip(_NAMES, _TYPES, strict=True):
-            row.append(pa.array([columns[name][part].astype(kind).tobytes()] if name in columns else [None], pa.binary()))
-        row.append(pa.array([b"".join(pieces[i] for i in part.tolist()) if pieces is not None else None], pa.binary()))
-        yield pa.RecordBatch.from_arrays(row, names=PACKED.names)
+    first = np.concatenate(([0], np.flatnonzero(np.diff(keys[order])) + 1))
+    ends = np.append(first, len(keys))
+    row = [pa.array(np.full(len(first), stage, dtype=np.int32)), pa.array(keys[order[first]].astype(np.int32))]
+    for name in _NAMES:
+        if name in columns:
+            data = _narrow(name, columns[name][order])
+            row.append(_binary(data.tobytes(), ends * data.shape[1]))
+        else:
+            row.append(pa.nulls(len(first), pa.binary()))
+    if pieces is None:
+        row.append(pa.nulls(len(first), pa.binary()))
+    else:
+        sizes = np.concatenate(([0], np.cumsum([len(pieces[i]) for i in order.tolist()])))
+        row.append(_binary(b"".join(pieces[i] for i in order.tolist()), sizes[ends]))
+    yield pa.RecordBatch.from_arrays(row, names=PACKED.names)
 
 
 def _unpack(rows: list[pa.RecordBatch], names: list[str]) -> dict[str, np.ndarray]:
+    """Columns of packed rows; a row's classes tell how many numbers it has. What was not packed is 0."""
+
+    def values(name: str) -> list[bytes]:
+        return [b or b"" for r in rows for b in r.column(r.schema.get_field_index(name)).to_pylist()]
+
+    numbers = np.array([len(b) // 8 for b in values("cls")], dtype=np.int64)
     out = {}
     for name, kind in zip(_NAMES, _TYPES, strict=True):
-        if name in names:
-            out[name] = np.frombuffer(b"".join(b or b"" for r in rows for b in r.column(r.schema.get_field_index(name)).to_pylist()), dtype=kind)
+        if name not in names:
+            continue
+        packed = values(name)
+        widths = np.array([len(b) for b in packed], dtype=np.int64) // np.maximum(numbers, 1)
+        wide = np.zeros((int(numbers.sum()), 8), dtype=np.uint8)
+        at = np.cumsum(numbers) - numbers
+        # Rows of one width that follow each other are read at once.
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(widths)) + 1, [len(packed)])).tolist() if packed else [0]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            data = np.frombuffer(b"".join(packed[lo:hi]), dtype=np.uint8)
+            if len(data):
+                width, begin = int(widths[lo]), int(at[lo])
+                wide[begin : begin + len(data) // width, :width] = data.reshape(-1, width)
+        out[name] = wide.view("<u8").reshape(-1).astype(kind)
     return out
 
 
+def _told(told: dict[str, np.ndarray], spread: int) -> Iterator[pa.RecordBatch]:
+    """What is said about texts, on the way to their homes; only a question to be asked by its anchor needs the hash of that."""
+    ask = told["kind"] == ASK
+    for some, names in ((ask, ["hash", "id", "cls", "start", "count", "kind"]), (~ask, ["id", "cls", "start", "count", "kind"])):
+        columns = {name: told[name][some] for name in names if name in told}
+        yield from _pack(2, _home(columns["cls"], spread), columns)
+
+
+def _gathered(told: Iterator[dict[str, np.ndarray] | list[pa.RecordBatch]], spread: int) -> Iterator[pa.RecordBatch]:
+    """`_told` for many units at once, so that a task has one row for each home, not each unit; packed rows pass through."""
+    waiting, held = [], 0
+    for unit in told:
+        if isinstance(unit, list):
+            yield from unit
+            continue
+        waiting.append(unit)
+        held += len(unit["cls"])
+        if held >= GATHERED:
+            yield from _told({k: np.concatenate([u[k] for u in waiting]) for k in unit}, spread)
+            waiting, held = [], 0
+    if waiting:
+        yield from _told({k: np.concatenate([u[k] for u in waiting]) for k in waiting[0]}, spread)
+
+
+def _joined(start: np.ndarray, count: np.ndarray, *text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs in order: which begin a stretch of runs that follow each other in one text, and the windows of each stretch."""
+    if not len(start):
+        return np.zeros(0, dtype=np.int64), count
+    opens = np.ones(len(start), dtype=bool)
+    opens[1:] = start[1:] != start[:-1] + count[:-1]
+    for c in text:
+        opens[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(opens)
+    return first, np.add.reduceat(count, first)
+
+
 def _home(cls: np.ndarray, spread: int) -> np.ndarray:
     """Where the rows of a text meet."""
     return (mixed(cls.view(np.uint64).copy()) % np.uint64(spread)).astype(np.int64)
@@ -154,11 +231,16 @@ def _combined(gathered: list[tuple], spread: int, crowd: int) -> Iterator[pa.Rec
     group = np.cumsum(new_hash) - 1
     crowded = (np.bincount(group, weights=new_text) > crowd)[group]
     kind = np.where(new_text, np.where(crowded, ASK_CROWDED, -1), COVERED)
-    told = kind >= 0
-    yield from _pack(2, _home(cls[told], spread), {"id": ids[told], "cls": cls[told], "start": start[told], "count": count[told], "kind": kind[told], "hash": hashes[told]})
+    asked = np.flatnonzero(kind == ASK_CROWDED)
+    yield from _told({k: c[asked] for k, c in (("id", ids), ("cls", cls), ("start", start), ("count", count), ("kind", kind), ("hash", hashes))}, spread)
+    covered = np.flatnonzero(kind == COVERED)
+    covered = covered[np.lexsort((start[covered], cls[covered], ids[covered]))]
+    first, windows = _joined(start[covered], count[covered], ids[covered], cls[covered])
+    begin = covered[first]
+    yield from _pack(2, _home(cls[begin], spread), {"id": ids[begin], "cls": cls[begin], "start": start[begin], "count": windows})
     sent = (kind == -1) | (crowded & new_hash)
     mark = np.where(crowded, 1, 0)
-    columns = {"hash": hashes[sent], "text": text[sent], "id": ids[sent], "cls": cls[sent], "start": start[sent], "count": count[sent], "kind": mark[sent]}
+    columns = {"hash": hashes[sent] >> np.uint64(64 - ANCHOR_BITS), "text": text[sent], "id": ids[sent], "cls": cls[sent], "start": start[sent], "count": count[sent], "kind": mark[sent]}
     yield from _pack(1, (hashes[sent] % np.uint64(spread)).astype(np.int64), columns)
 
 
@@ -185,13 +267,15 @@ def _judged_anchors(spread: int, crowd_all: int):
     """Runs of one anchor: later equal ones are covered, others are asked about if the anchor has several texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _gathered(units(batches), spread)
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray] | list[pa.RecordBatch]]:
         for unit in grouped(batches, 2):
-            if unit.column("stage")[0].as_py() == 2:  # already told by the task that combined its runs
-                yield from unit.to_batches()
-            else:
-                yield from judged(_unpack(unit.to_batches(), _NAMES))
+            rows = unit.to_batches()
+            # Rows of the second kind were told by the task that combined its runs.
+            yield rows if unit.column("stage")[0].as_py() == 2 else judged(_unpack(rows, _NAMES))
 
-    def judged(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def judged(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         order = _ordered(*(c[k] for k in ("hash", "kind", "text", "id", "cls", "start")))
         c = {k: v[order] for k, v in c.items()}
         new_hash = np.concatenate(([True], c["hash"][1:] != c["hash"][:-1]))
@@ -206,8 +290,7 @@ def _judged_anchors(spread: int, crowd_all: int):
         crowded = (np.bincount(group, weights=c["kind"] == 1)[group] > 0) | (texts > crowd_all)
         kind = np.where(real & ~new_text, COVERED, np.where(real & crowded, ASK_CROWDED, np.where(real & (texts > 1), ASK, -1)))
         told = kind >= 0
-        columns = {k: c[k][told] for k in ("hash", "id", "cls", "start", "count")} | {"kind": kind[told]}
-        yield from _pack(2, _home(columns["cls"], spread), columns)
+        return {k: c[k][told] for k in ("hash", "id", "cls", "start", "count")} | {"kind": kind[told]}
 
     return run
 
@@ -320,10 +403,9 @@ def _later_windows(data: np.ndarray, begin: np.ndarray, count: np.ndarray, earli
 
 def _sorted_units(spread: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit in grouped(batches, 2):
-            yield from compared(unit.to_batches())
+        yield from _gathered((compared(unit.to_batches()) for unit in grouped(batches, 2)), spread)
 
-    def compared(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compared(rows: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
         c = _unpack(rows, ["id", "cls", "start", "count"])
         data = np.frombuffer(b"".join(b for r in rows for b in r.column(r.schema.get_field_index("slices")).to_pylist()), dtype=np.uint8)
         count = c["count"].astype(np.int64)
@@ -343,8 +425,7 @@ def _sorted_units(spread: int):
         closes = marks & np.concatenate((~marks[1:] | (slice_of[1:] != slice_of[:-1]), [True]))
         first, last = np.flatnonzero(opens), np.flatnonzero(closes)
         of = slice_of[first]
-        columns = {"id": c["id"][of], "cls": c["cls"][of], "start": c["start"][of] + within[first], "count": last - first + 1, "kind": np.zeros(len(of), dtype=np.int8)}
-        yield from _pack(2, _home(columns["cls"], spread), columns)
+        return {"id": c["id"][of], "cls": c["cls"][of], "start": c["start"][of] + within[first], "count": last - first + 1, "kind": np.zeros(len(of), dtype=np.int8)}
 
     return run
 
@@ -376,8 +457,6 @@ class _Flags:
     def __init__(self, rows: list[pa.RecordBatch]):
         self.c = _unpack(rows, ["hash", "id", "cls", "start", "count", "kind"])
         order = np.lexsort((self.c["start"], self.c["cls"], self.c["id"]))
-        if len(self.c["hash"]) != len(order):
-            del self.c["hash"]
         self.c = {k: v[order] for k, v in self.c.items()}
         change = np.ones(len(order), dtype=bool)
         if len(order):
@@ -452,9 +531,10 @@ def _asking(spread: int):
                     found = removed(data, told["start"][covered], told["count"][covered])
                     out.append({"stage": 9, "doc": i, "text_cls": cls} | dict(zip((n for n, _ in _RESULT), found, strict=True)))
                     continue
+                first, windows_of = _joined(told["start"][covered], told["count"][covered])
                 out.append(
                     {"stage": 4, "key": int(_home(np.array([cls]), spread)[0]), "doc": i, "text_cls": cls, "body": text}
-                    | {k: told[k][covered].tobytes() for k in ("start", "count")}
+                    | {"start": told["start"][covered][first].tobytes(), "count": windows_of.astype(np.int32).tobytes()}
                 )
                 for q in questions.tolist():
                     h, s, n = int(told["hash"][q]), int(told["start"][q]), int(told["count"][q])

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from plantlake.llm import repeats
 from plantlake.llm.repeats import repeated_windows, suffix_order, without_repeats
 from tests.llm.conftest import awkward
 
@@ -115,3 +116,34 @@ def test_rows_that_agree_in_id_and_text_keep_one_of_them(texts, partitions):
             assert sorted(map(tuple, got), key=str) == brute(rows)
     finally:
         docs.sparkSession.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_packed_numbers_come_back_and_are_narrow():
+    rng = np.random.default_rng(32)
+    n = 5000
+    whole = {k: rng.integers(0, 1 << 64, n, dtype=np.uint64) for k in ("hash", "text")}
+    whole |= {"id": rng.integers(0, 1 << 20, n), "cls": rng.integers(-(1 << 63), (1 << 63) - 1, n), "start": rng.integers(0, 60_000, n), "count": rng.integers(1, 52, n)}
+    whole["hash"] >>= np.uint64(24)
+    odd = whole | {"id": np.where(np.arange(n) % 7 == 0, repeats.LAST_ID, -whole["id"]), "start": whole["start"] + (1 << 20)}
+    keys = np.zeros(n, dtype=np.int64)
+    packed = [b for c in (whole, odd) for b in repeats._pack(1, keys, c)]
+    assert sum(len(v) for c in packed[0].columns[2:] for v in c.to_pylist() if v) <= 27 * n
+    got = repeats._unpack(packed, repeats._NAMES)
+    for name, values in whole.items():
+        assert got[name].tolist() == [*values.tolist(), *odd[name].tolist()], name
+    assert not got["kind"].any()
+    several = next(repeats._pack(3, np.arange(n) % 3, whole, [b"x" * (i % 5) for i in range(n)]))
+    assert several.num_rows == 3 and several.column("slices").to_pylist()[1] == b"".join(b"x" * (i % 5) for i in range(1, n, 3))
+
+
+def test_a_task_tells_each_home_once():
+    """Runs of many anchor destinations reach the homes of their texts in one row each, not one for each destination."""
+    n, spread = 4000, 40
+    rng = np.random.default_rng(33)
+    c = {"hash": np.repeat(np.arange(n // 2, dtype=np.uint64), 2), "text": np.zeros(n, dtype=np.uint64), "id": np.arange(n), "cls": rng.integers(0, 1 << 62, n)}
+    c |= {"start": np.zeros(n, dtype=np.int64), "count": np.ones(n, dtype=np.int64), "kind": np.zeros(n, dtype=np.int64)}
+    rows = list(repeats._pack(1, (c["hash"] % np.uint64(spread)).astype(np.int64), c))
+    told = list(repeats._judged_anchors(spread, 100)(iter(rows)))
+    assert sum(b.num_rows for b in told) <= spread
+    got = repeats._unpack(told, ["id", "kind"])
+    assert sorted(got["id"].tolist()) == list(range(1, n, 2)) and not got["kind"].any()
